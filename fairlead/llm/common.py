@@ -97,14 +97,15 @@ def map_rows(df: DataFrame, column: str, fields: list[T.StructField], make: Call
     return out.drop(tmp) if tmp else out
 
 
-def skew_join(left: DataFrame, right: DataFrame, key: str, weight: str, how: str = "left") -> DataFrame:
-    """Join rows of ``left`` to the one row of ``right`` with their ``key`` (never null), whatever the skew.
+def skew_join(left: DataFrame, right: DataFrame, keys: str | list[str], weight: str, how: str = "left") -> DataFrame:
+    """Join rows of ``left`` to the one row of ``right`` with their ``keys`` (never null), whatever the skew. ``how``: left or inner.
 
     ``weight`` (of ``right``, dropped from the result) says about how many rows of ``left`` have the key. Keys with at least 1/HOT_KEYS of the weight are at most HOT_KEYS in number and join by broadcast; the rest, none of which is large, join by a shuffle. ``left`` is read twice, ``right`` three times: hand in tables that are cheap to read.
     """
+    keys = [keys] if isinstance(keys, str) else keys
     total = right.agg(F.sum(weight)).first()[0] or 0
     is_hot = F.col(weight) * HOT_KEYS >= F.lit(total)
     hot, cold = right.filter(is_hot).drop(weight), right.filter(~is_hot).drop(weight)
-    by_broadcast = left.join(F.broadcast(hot), key, "inner")
-    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
+    by_broadcast = left.join(F.broadcast(hot), keys, "inner")
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, how)
     return by_broadcast.unionByName(rest)

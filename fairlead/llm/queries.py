@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mix, quality, tokens, url_filter
+from . import chat, decontaminate, language, line_dedup, mix, quality, simhash, tokens, url_filter, warc
 
 RULES = [
     url_filter.Rule("block", "com", "/en/"),
@@ -62,7 +62,52 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), outcomes, RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op5_quality_rules, op8_token_counts, op10_url_filter)}
+def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.records_of(warc.read_chunks(manifest, data=False))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components_of(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False)))
+    weights = language.train(docs.filter(~F.col("held_out")))
+    return language.identify(docs.select("doc_id", "held_out", "text"), weights).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each rendered perspective; the operator returns the texts themselves."""
+    shown = chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
+    return shown.select("conv_id", "speaker", "part", "slot", "n_turns", "n_own", F.length("rendered").cast("long").alias("n_chars"), F.sha2("rendered", 256).alias("rendered_sha256"), F.array_join(spans, ",").alias("mask"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each text that is left; the operator returns the texts themselves."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = line_dedup.dedup_lines(docs, counts=("n_lines", "n_removed"))
+    text = F.coalesce("text", F.lit(""))
+    return cut.select("doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources,
+        op2_decontaminate,
+        op3_warc_chunks,
+        op4_simhash,
+        op5_quality_rules,
+        op6_language_id,
+        op7_chat_rotation,
+        op8_token_counts,
+        op9_line_dedup,
+        op10_url_filter,
+    )
+}
 
 ORACLE = {}
 
@@ -160,3 +205,54 @@ WITH u AS (
 SELECT page_id, host, path, rule, coalesce(action, CASE WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM u LEFT JOIN best USING (page_id) LEFT JOIN bad USING (host)
 """
+
+ORACLE["op3_warc_chunks"] = """
+WITH r AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages
+), m AS (SELECT *, max(page_id) OVER (PARTITION BY d, n) AS top FROM r)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 1000 AND top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND top IS NOT NULL AND page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM m
+"""
+
+ORACLE["op7_chat_rotation"] = """
+WITH t AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS text, CAST(coalesce(floor(turn / 128), -1) AS BIGINT) AS part
+  FROM conversations
+), p AS (SELECT DISTINCT conv_id, who AS speaker FROM t WHERE who <> 'system'
+), h AS (
+  SELECT t.conv_id, speaker, part, turn, who, text, who = speaker AS own,
+    '<|im_start|>' || CASE WHEN who = speaker THEN 'assistant' WHEN who = 'system' THEN 'system' ELSE 'user name=' || replace(who, '<|im_', '< |im_') END || chr(10) AS head,
+    replace(text, '<|im_', '< |im_') || '<|im_end|>' || chr(10) AS body
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+), o AS (
+  SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, who, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS s
+  FROM h
+)
+SELECT conv_id, speaker, part, CAST(0 AS BIGINT) AS slot, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
+  CAST(sum(length(head) + length(body)) AS BIGINT) AS n_chars,
+  sha256(string_agg(head || body, '' ORDER BY s)) AS rendered_sha256,
+  coalesce(string_agg(CAST(CAST(s AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(s + length(body) AS BIGINT) AS VARCHAR), ',' ORDER BY s) FILTER (WHERE own), '') AS mask
+FROM o GROUP BY conv_id, speaker, part
+"""
+
+ORACLE["op9_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, text, coalesce(text, '') AS t FROM documents
+), l AS (
+  SELECT doc_id, t, i, ls[i] AS line FROM (SELECT doc_id, t, ls, unnest(generate_series(1, len(ls))) AS i FROM (SELECT doc_id, t, string_split(t, chr(10)) AS ls FROM (SELECT DISTINCT doc_id, t FROM d)))
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, t ORDER BY i) AS k FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), w AS (
+  SELECT doc_id, t, k, [line, lead(line, 1) OVER v, lead(line, 2) OVER v] AS g, lead(line, 2) OVER v AS third
+  FROM n WINDOW v AS (PARTITION BY doc_id, t ORDER BY k)
+), later AS (
+  SELECT doc_id, t, k FROM (SELECT doc_id, t, k, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, t, k) AS r FROM w WHERE third IS NOT NULL) WHERE r > 1
+), gone AS (
+  SELECT DISTINCT n.doc_id, n.t, n.i FROM n JOIN (SELECT doc_id, t, unnest([k, k + 1, k + 2]) AS k FROM later) x ON n.doc_id IS NOT DISTINCT FROM x.doc_id AND n.t = x.t AND n.k = x.k
+), kept AS (
+  SELECT l.doc_id, l.t, count(*) AS n_lines, count(gone.i) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL), '') AS x
+  FROM l LEFT JOIN gone ON l.doc_id IS NOT DISTINCT FROM gone.doc_id AND l.t = gone.t AND l.i = gone.i GROUP BY l.doc_id, l.t
+)
+SELECT d.doc_id, CASE WHEN text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_removed, CAST(length(x) AS BIGINT) AS n_chars, sha256(x) AS text_sha256
+FROM d JOIN kept ON d.doc_id IS NOT DISTINCT FROM kept.doc_id AND d.t = kept.t
+"""
