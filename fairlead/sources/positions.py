@@ -66,10 +66,13 @@ class _Member(InputPartition):
 
 
 def csv_members(path: str) -> list[str]:
-    """Names of the CSV files in a zip; raises if it cannot be read."""
+    """Names of the CSV files in a zip; raises OSError or BadZipFile if it cannot be read."""
     store, at = store_of(path)
-    with store.open_input_file(at) as raw, zipfile.ZipFile(raw) as z:
-        return [n for n in z.namelist() if n.lower().endswith(".csv")]
+    try:
+        with store.open_input_file(at) as raw, zipfile.ZipFile(raw) as z:
+            return [n for n in z.namelist() if n.lower().endswith(".csv")]
+    except ValueError as e:  # a seek before the start of a file that is too short
+        raise zipfile.BadZipFile(str(e)) from e
 
 
 class ZipCsvReader(DataSourceReader):
