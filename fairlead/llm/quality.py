@@ -17,7 +17,7 @@ from .common import HOT_KEYS, map_rows, materialize, skew_join
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-MAX_HOST_RATE = 0.5
+MAX_HOST_RATE = 0.8
 SALTS = 64
 
 STATS = [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]

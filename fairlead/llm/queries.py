@@ -163,7 +163,7 @@ WITH d AS (
     THEN least(0.999e0, greatest(0.001e0, (dev / (m * (1 - m)) - (k - 1)) / (n - n2 / n - (k - 1)))) ELSE 0.001e0 END AS rho
   FROM t, v
 ), verdict AS (
-  SELECT host, ((1 / rho - 1) * m + failed) / ((1 / rho - 1) + n) > 0.5 AS rejected FROM h, rho
+  SELECT host, ((1 / rho - 1) * m + failed) / ((1 / rho - 1) + n) > 0.8 AS rejected FROM h, rho
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept
 FROM f JOIN verdict USING (host)
