@@ -12,19 +12,33 @@ from fairlead.functions.geo import EARTH_KM, KM_PER_NM, haversine_km, nearest_cl
 
 GROUP = ("file_seq", "mmsi")
 LEAST_ROWS = 4
+#: Identifiers in a registry that is broadcast (about 60 bytes each).
+FEW = 100_000
 
 
-def candidates(df: DataFrame, *, distance_km: float = 50.0, max_speed: float = 50.0, min_rows: int = 10) -> DataFrame:
-    """(file_seq, mmsi, n_rows, n_jumps) of groups large enough in which two or more steps are longer than ``distance_km`` and at least twice too fast."""
+def _jumps(df: DataFrame, distance_km: float, max_speed: float) -> DataFrame:
+    """Adds _jump: the step to the row is longer than ``distance_km`` and at least twice too fast."""
     w = W.partitionBy(*GROUP).orderBy("timestamp")
     km = haversine_km(F.lag("lat").over(w), F.lag("lon").over(w), F.col("lat"), F.col("lon"))
     hours = seconds_between(F.lag("timestamp").over(w), F.col("timestamp")) / 3600
-    steps = df.select(*GROUP, km.alias("km"), hours.alias("hours"))
-    jump = (F.col("km") > distance_km) & (F.col("hours") > 0) & (F.col("hours") < 0.5 * F.col("km") / (max_speed * KM_PER_NM))
-    found = steps.groupBy(*GROUP).agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(F.coalesce(jump, F.lit(False)).cast("long")), F.lit(0)).alias("n_jumps"))
+    steps = df.withColumns({"_km": km, "_hours": hours})
+    jump = (F.col("_km") > distance_km) & (F.col("_hours") > 0) & (F.col("_hours") < 0.5 * F.col("_km") / (max_speed * KM_PER_NM))
+    return steps.withColumn("_jump", F.coalesce(jump, F.lit(False)).cast("long")).drop("_km", "_hours")
+
+
+def candidates(df: DataFrame, *, distance_km: float = 50.0, max_speed: float = 50.0, min_rows: int = 10) -> DataFrame:
+    """(file_seq, mmsi, n_rows, n_jumps) of groups that are large enough and have two jumps or more."""
+    found = _jumps(df, distance_km, max_speed).groupBy(*GROUP).agg(F.count("*").alias("n_rows"), F.sum("_jump").alias("n_jumps"))
     return found.filter((F.col("n_rows") >= max(LEAST_ROWS, min_rows)) & (F.col("n_jumps") >= 2))
 
 
+def candidate_rows(df: DataFrame, *, distance_km: float = 50.0, max_speed: float = 50.0, min_rows: int = 10) -> DataFrame:
+    """The rows of those groups, by windows in place of a join with them."""
+    whole = W.partitionBy(*GROUP)
+    counted = _jumps(df, distance_km, max_speed).withColumns({"_rows": F.count("*").over(whole), "_jumps": F.sum("_jump").over(whole)})
+    return counted.filter((F.col("_rows") >= max(LEAST_ROWS, min_rows)) & (F.col("_jumps") >= 2)).drop("_jump", "_rows", "_jumps")
+
+
 def cluster_labels(lat: np.ndarray, lon: np.ndarray, eps_km: float) -> np.ndarray:
     """Labels of the components of the graph that joins positions within ``eps_km``; -1 for positions alone or null. Numbered by first row.
 
@@ -72,23 +86,30 @@ def cluster_labels(lat: np.ndarray, lon: np.ndarray, eps_km: float) -> np.ndarra
     return labels
 
 
-def label_groups(df: DataFrame, groups: DataFrame, *, eps_km: float = 5.0) -> DataFrame:
-    """(file_seq, mmsi, timestamp, lat, lon, label) of the rows of ``groups``. Only groups that passed ``candidates`` come here, one vessel and file at a time."""
-    rows = df.select(*GROUP, "timestamp", "lat", "lon").join(groups.select(*GROUP), list(GROUP), "left_semi")
+def label_groups(rows: DataFrame, *, eps_km: float = 5.0) -> DataFrame:
+    """(file_seq, mmsi, timestamp, lat, lon, label) of ``candidate_rows``: only groups that jump come here, one vessel and file at a time."""
     schema = "file_seq long, mmsi long, timestamp timestamp_ntz, lat double, lon double, label long"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("timestamp", kind="stable", ignore_index=True)
         return pdf.assign(label=cluster_labels(pdf["lat"].to_numpy(dtype=float), pdf["lon"].to_numpy(dtype=float), eps_km))
 
-    return rows.groupBy(*GROUP).applyInPandas(run, schema)
+    return rows.select(*GROUP, "timestamp", "lat", "lon").groupBy(*GROUP).applyInPandas(run, schema)
 
 
 def bounce_patterns(labels: DataFrame, *, min_bounces: int = 3) -> DataFrame:
-    """(file_seq, mmsi, n_points, n_clusters, bounces, is_bounce) over labelled rows that are in a cluster."""
+    """Over labelled rows that are in a cluster: file_seq, mmsi, n_points, n_clusters, bounces, is_bounce; the means of the first two clusters (A is the one seen first) and the group's first time."""
     w = W.partitionBy(*GROUP).orderBy("timestamp")
-    clustered = labels.filter(F.col("label") >= 0).withColumn("_turn", F.coalesce(F.col("label") != F.lag("label").over(w), F.lit(False)).cast("long"))
-    found = clustered.groupBy(*GROUP).agg(F.count("*").alias("n_points"), F.count_distinct("label").alias("n_clusters"), F.sum("_turn").alias("bounces"))
+    timed = labels.withColumn("_first", F.min("timestamp").over(W.partitionBy(*GROUP)))
+    clustered = timed.filter(F.col("label") >= 0).withColumn("_turn", F.coalesce(F.col("label") != F.lag("label").over(w), F.lit(False)).cast("long"))
+    mean = lambda c, k: F.avg(F.when(F.col("label") == k, F.col(c)))
+    found = clustered.groupBy(*GROUP).agg(
+        F.count("*").alias("n_points"),
+        F.count_distinct("label").alias("n_clusters"),
+        F.sum("_turn").alias("bounces"),
+        *[mean(c, k).alias(f"{p}_{c}") for p, k in (("a", 0), ("b", 1)) for c in ("lat", "lon")],
+        F.min("_first").alias("detected_at"),
+    )
     return found.withColumn("is_bounce", (F.col("n_points") >= 2 * min_bounces) & (F.col("n_clusters") == 2) & (F.col("bounces") >= min_bounces))
 
 
@@ -99,12 +120,9 @@ def centroids(labels: DataFrame) -> DataFrame:
 
 def detect(df: DataFrame, *, distance_km: float = 50.0, eps_km: float = 5.0, min_bounces: int = 3, min_rows: int = 10, max_speed: float = 50.0) -> DataFrame:
     """A row per file and identifier that bounces between exactly two clusters: centroids (A is the cluster seen first), bounces and the group's first time."""
-    flagged = candidates(df, distance_km=distance_km, max_speed=max_speed, min_rows=min_rows)
-    labels = label_groups(df, flagged, eps_km=eps_km)
-    found = bounce_patterns(labels, min_bounces=min_bounces).filter("is_bounce").select(*GROUP, "bounces")
-    mean = lambda c, k: F.avg(F.when(F.col("label") == k, F.col(c)))
-    places = labels.groupBy(*GROUP).agg(mean("lat", 0).alias("a_lat"), mean("lon", 0).alias("a_lon"), mean("lat", 1).alias("b_lat"), mean("lon", 1).alias("b_lon"), F.min("timestamp").alias("detected_at"))
-    return found.join(places, list(GROUP))
+    rows = candidate_rows(df, distance_km=distance_km, max_speed=max_speed, min_rows=min_rows)
+    found = bounce_patterns(label_groups(rows, eps_km=eps_km), min_bounces=min_bounces)
+    return found.filter("is_bounce").select(*GROUP, "bounces", "a_lat", "a_lon", "b_lat", "b_lon", "detected_at")
 
 
 def first_detections(detections: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -114,7 +132,13 @@ def first_detections(detections: DataFrame, known: DataFrame | None = None) -> D
 
 
 def assign_clusters(df: DataFrame, registry: DataFrame) -> DataFrame:
-    """Adds cluster_assignment: A or B in the file of the first detection and after it, null for others. The registry is first matched to (file, identifier) groups, so that rows are not dealt out anew."""
-    hits = df.select(*GROUP).distinct().join(registry.select("mmsi", F.col("file_seq").alias("_from"), "a_lat", "a_lon", "b_lat", "b_lon"), "mmsi").filter(F.col("file_seq") >= F.col("_from")).drop("_from")
+    """Adds cluster_assignment: A or B in the file of the first detection and after it, null for others.
+
+    A registry of up to ``FEW`` identifiers is broadcast, so rows are not dealt out anew; a larger one joins by a shuffle. It is kept in memory or on disk meanwhile, as its rows are counted first.
+    """
+    places = registry.select("mmsi", F.col("file_seq").alias("_from"), "a_lat", "a_lon", "b_lat", "b_lon").persist()
+    few = places.limit(FEW + 1).count() <= FEW
     near = nearest_cluster(F.col("lat"), F.col("lon"), *[F.col(c) for c in ("a_lat", "a_lon", "b_lat", "b_lon")])
-    return df.join(hits, list(GROUP), "left").withColumn("cluster_assignment", F.when(F.col("a_lat").isNotNull(), near)).drop("a_lat", "a_lon", "b_lat", "b_lon")
+    known = F.coalesce(F.col("file_seq") >= F.col("_from"), F.lit(False))
+    joined = df.join(F.broadcast(places) if few else places, "mmsi", "left")
+    return joined.withColumn("cluster_assignment", F.when(known, near)).drop("_from", "a_lat", "a_lon", "b_lat", "b_lon")

@@ -21,14 +21,17 @@ def position_filter(df: DataFrame, bounds: dict | None, max_sog: float = MAX_SOG
 
 
 def keep_first(df: DataFrame, order: list[str]) -> DataFrame:
-    """One row per file, vessel and time: the first by ``order``."""
-    w = W.partitionBy("file_seq", "mmsi", "timestamp").orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
+    """One row per file, vessel and time: the first by ``order``.
+
+    A row goes if the one before it in the vessel's series has its time, so no window is needed beside those of the later steps: they all use this exchange by file and vessel, and its sort.
+    """
+    w = W.partitionBy("file_seq", "mmsi").orderBy("timestamp", *order)
+    return df.withColumn("_before", F.lag("timestamp").over(w)).filter(F.col("_before").isNull() | (F.col("_before") != F.col("timestamp"))).drop("_before")
 
 
 def validate_positions(df: DataFrame, bounds: dict | None, *, order: list[str], max_sog: float = MAX_SOG) -> DataFrame:
-    """Rows that pass, dealt by file and vessel: that one exchange serves every window of the later steps."""
-    return keep_first(df.filter(position_filter(df, bounds, max_sog)).repartition("file_seq", "mmsi"), order)
+    """Rows that pass, without duplicates."""
+    return keep_first(df.filter(position_filter(df, bounds, max_sog)), order)
 
 
 def validation_stats(before: DataFrame, after: DataFrame) -> DataFrame:

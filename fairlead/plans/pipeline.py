@@ -57,7 +57,7 @@ class Cleaned:
 def clean(raw: DataFrame, config: Cleaning, *, order: list[str], state: DataFrame | None = None, registry: DataFrame | None = None) -> Cleaned:
     """``raw`` has the canonical columns and file_seq; ``order`` gives the order of ingestion within a file. ``state`` and ``registry`` come from earlier runs.
 
-    Validation deals rows out by file and vessel once; all windows that follow are within that. What crosses files (numbers, centroids) is worked out on one row per file and vessel and joined back.
+    Rows are dealt out by file and vessel and sorted once; all windows that follow use that. What crosses files (numbers, centroids) is worked out on one row per file and vessel and joined back.
     """
     validated = validate.validate_positions(raw, config.bounds, order=order)
     found = collision.detect(validated, distance_km=config.collision_distance_km, eps_km=config.collision_eps_km, min_bounces=config.collision_min_bounces, min_rows=config.collision_min_rows)

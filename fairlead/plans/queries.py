@@ -144,8 +144,7 @@ def collision_candidates(spark, sf_dir):
 
 
 def _labels(spark, sf_dir) -> DataFrame:
-    df = bouncing(spark, sf_dir)
-    return collision.label_groups(df, collision.candidates(df))
+    return collision.label_groups(collision.candidate_rows(bouncing(spark, sf_dir)))
 
 
 def collision_labels(spark, sf_dir):
