@@ -23,6 +23,8 @@ class Cleaning:
     collision_min_rows: int = 10
     #: None: one series for an identifier that two vessels share; "per_cluster": a series for each of them.
     split: str | None = None
+    #: "numeric": a file goes on from a vessel's highest track number; "lexical": from the one that sorts last as text.
+    numbering: str = "numeric"
 
 
 @dataclass

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -72,3 +73,27 @@ def starting_segments(summary: DataFrame, gap_hours: float, state: DataFrame | N
     total = F.sum(F.col("carry") + F.col("last_offset")).over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
     numbered = carried.withColumn("start", (total - F.col("last_offset")).cast("long"))
     return numbered.filter(F.col("file_seq") >= 0) if state is not None else numbered
+
+
+def starting_segments_lexical(offsets: DataFrame, least: int, gap_hours: float, *, group: tuple = GROUP) -> DataFrame:
+    """As ``starting_segments``, but a file goes on from the track whose id sorts last as text, so that 9 comes after 10 and numbers can repeat.
+
+    That rule is no running sum: the files of a vessel are folded one after another, on one row a track, not a position.
+    """
+    vessel = [g for g in group if g != "file_seq"]
+    tracks = offsets.groupBy(*group, "segment_offset").agg(F.count("*").alias("n"), F.min("timestamp").alias("t0"), F.max("timestamp").alias("t1"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tracks.select(*group).schema) + ", start long"
+
+    def fold(pdf):
+        rows, number, last = [], None, None
+        for key, file in pdf.groupby(list(group), sort=True, dropna=False):
+            long = file[file["n"] >= least]
+            if long.empty:
+                continue
+            start = 0 if number is None else number + int((file["t0"].min() - last).total_seconds() > gap_hours * 3600)
+            best = max(zip(long["segment_offset"] + start, long["t1"], strict=True), key=lambda x: str(x[0]))
+            number, last = int(best[0]), best[1]
+            rows.append((*key, start))
+        return pd.DataFrame(rows, columns=[*group, "start"])
+
+    return tracks.groupBy(*vessel).applyInPandas(fold, schema)

@@ -72,7 +72,12 @@ def clean(raw: DataFrame, config: Cleaning, *, order: list[str], state: DataFram
     kept = outliers.remove_outliers(split, config.max_velocity_knots, config.velocity_by_ship_type, group=group)
     offsets = segment.segment_offsets(kept, config.track_gap_hours, group=group)
     offsets = offsets.withColumn("_letter", segment.group_letter(offsets, group))
-    summary = segment.starting_segments(segment.group_summary(offsets, config.min_track_points, group), config.track_gap_hours, state, group=group)
+    if config.numbering == "lexical":
+        if state is not None:
+            raise ValueError("lexical numbering runs over all files at once")
+        summary = segment.starting_segments_lexical(offsets, config.min_track_points, config.track_gap_hours, group=group)
+    else:
+        summary = segment.starting_segments(segment.group_summary(offsets, config.min_track_points, group), config.track_gap_hours, state, group=group)
     long = segment.filter_short(offsets, config.min_track_points, [*group, "segment_offset"])
     numbered = long.join(summary.select(*group, "start"), list(group)).withColumn("segment_num", F.col("segment_offset") + F.col("start"))
     tracks = numbered.withColumn("track_id", track_id(F.col("mmsi"), F.col("_letter"), F.col("segment_num"))).withColumn("dt_seconds", segment.dt_seconds([*group, "segment_offset"]))

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import zipfile
 from datetime import date
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -17,6 +16,7 @@ from fairlead.plans.pipeline import Cleaned, clean
 from fairlead.plans.views import DAY_FILES, HALF_MONTHS, ONE_FILE, positions
 from fairlead.sources import downloads, sinks
 from fairlead.sources import positions as sources
+from fairlead.sources.scratch import scratch
 
 BOX = Cleaning().bounds
 NARROW = {"lat_min": 54.5, "lat_max": 58.0, "lon_min": 8.0, "lon_max": 15.0}
@@ -219,21 +219,21 @@ def expected_files(spark, sf_dir):
 
 
 def zip_roundtrip(spark, sf_dir):
-    """Events written to zipped CSV under driver-readable paths and read back by the data source."""
-    import zipfile
-
+    """Events written to zipped CSV in a shared folder and read back by the data source."""
     rows = positions(spark, sf_dir).filter("mmsi < 20").orderBy("event_id").select("event_id", "mmsi", "timestamp", "lat", "lon", "sog", "ship_type").collect()
-    folder = Path(tempfile.mkdtemp(prefix="fairlead-zip-"))
+    folder = scratch(spark, "zips")
+    store, root = sources.store_of(folder)
+    store.create_dir(root, recursive=True)
     for k in range(2):
-        with zipfile.ZipFile(folder / f"aisdk-2024-01-0{k + 1}.zip", "w") as z:
+        with store.open_output_stream(f"{root}/aisdk-2024-01-0{k + 1}.zip") as out, zipfile.ZipFile(out, "w") as z:
             lines = ["# Timestamp,MMSI,Latitude,Longitude,SOG,Ship type"] + [f"{r['timestamp']:%d/%m/%Y %H:%M:%S},{r['mmsi']},{r['lat']!r},{r['lon']!r},{r['sog']!r},{r['ship_type']}" for r in rows if r["event_id"] % 2 == k]
             z.writestr("a.csv", "\n".join(lines))
-    read = sources.read_zips(spark, sources.list_raw_files(str(folder)))
+    read = sources.read_zips(spark, sources.list_raw_files(folder))
     return read.select("file_seq", "line", "mmsi", "timestamp", rounded("lat"), rounded("lon"), "sog", "ship_type")
 
 
 def parquet_roundtrip(spark, sf_dir):
-    folder = tempfile.mkdtemp(prefix="fairlead-tracks-")
+    folder = scratch(spark, "tracks")
     tracks = _short(spark, sf_dir).select("event_id", "file_seq", "mmsi", "timestamp", "track_id")
     sinks.write_tracks(tracks, folder)
     return spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(folder).select("event_id", "mmsi", "timestamp", "track_id")

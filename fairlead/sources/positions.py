@@ -38,7 +38,8 @@ def list_raw_files(folder: str, pattern: str = PATTERN) -> list[str]:
     store, root = store_of(folder)
     if store.get_file_info(root).type != fs.FileType.Directory:
         return []
-    return sorted(x.path for x in store.get_file_info(fs.FileSelector(root, recursive=True)) if x.is_file and fnmatch.fnmatch(x.base_name, pattern))
+    head = folder[: len(folder) - len(root)] if folder.endswith(root) else ""
+    return sorted(head + x.path for x in store.get_file_info(fs.FileSelector(root, recursive=True)) if x.is_file and fnmatch.fnmatch(x.base_name, pattern))
 
 
 def map_columns(headers: list[str]) -> dict[str, str]:

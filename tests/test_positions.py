@@ -78,6 +78,16 @@ def test_numbers_go_on_across_files(spark):
     assert ids_of([(1, 0, *p, 0), (1, 60, *p, 0), (1, 90000, *p, 1), (1, 200000, *p, 2), (1, 200060, *p, 2)], min_track_points=2) == ["1_0", "1_0", "1_1", "1_1"]
 
 
+def test_lexical_numbers(spark):
+    five = 5 * 3600
+    rows = [(1, i * five, 55.0, 10.0, 1.0, None, 0 if i < 11 else 1) for i in range(13)]
+    got = [r["track_id"] for r in run(spark, rows, numbering="lexical").tracks.orderBy("timestamp").collect()]
+    assert got == [f"1_{i}" for i in range(11)] + ["1_10", "1_11"]
+    few = [r for r in rows if r[6] == 0][:5] + [(1, i * five, 55.0, 10.0, 1.0, None, 1) for i in range(5, 7)]
+    both = [sorted(r["track_id"] for r in run(spark, few, numbering=n).tracks.collect()) for n in ("numeric", "lexical")]
+    assert both[0] == both[1]
+
+
 def test_two_runs_are_one(spark):
     rng = np.random.default_rng(5)
     rows = [(int(m), int(t), 55.0 + float(rng.random()) / 100, 10.0, 1.0, None, int(t) // 86400) for m in range(1, 6) for t in np.sort(rng.integers(0, 6 * 86400, 40))]
