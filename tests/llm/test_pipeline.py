@@ -5,9 +5,8 @@ import random
 import pytest
 from test_text_operators import brute_cut, brute_hits, jaccard, words
 
-corpus_pipeline = pytest.importorskip("corpus_pipeline")
-
-from fairlead.llm.quality import text_stats  # noqa: E402
+import corpus_pipeline
+from fairlead.llm.quality import text_stats
 
 
 @pytest.fixture(scope="module")
