@@ -143,7 +143,7 @@ def _scanner(shared: Broadcast):
     """Makes the function from texts to word counts, hits, items and the byte spans of hit words, merged."""
 
     def make():
-        grams: NgramSet = shared.value
+        grams = NgramSet(*shared.value)
         hasher = WordHasher()
 
         def many(texts: list) -> dict:
@@ -217,7 +217,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = N, tex
     names = [f.name for f in FIELDS]
     out, spark = None, docs.sparkSession
     for block in _blocks(items, block_bytes):
-        shared = spark.sparkContext.broadcast(NgramSet.build([tuple(r) for r in block], n))
+        grams = NgramSet.build([tuple(r) for r in block], n)
+        shared = spark.sparkContext.broadcast((grams.n, grams.bitmap, grams.items))  # plain values: a broadcast carries no classes
         if out is None:
             out = map_rows(docs, text_col, FIELDS, _scanner(shared))
             continue

@@ -249,16 +249,17 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", pe
     draw = F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(1_000_000)) / 1e6
     place = lambda k: F.substr("text", (F.pmod(F.xxhash64(F.lit(k), "text"), F.greatest(F.length("text") - PIECE, F.lit(1))) + 1).cast("int"), F.lit(PIECE))
     picked = rows.filter(draw < F.element_at(share, F.col("lang"))).select("lang", F.explode(F.array(place(2), place(3))).alias("piece"))
-    found = picked.limit(4 * per_language * len(counts)).collect()
+    found = picked.distinct().limit(4 * per_language * len(counts)).collect()
     return fit([(r["piece"].encode("utf-8", "surrogatepass"), r["lang"]) for r in found], **options)
 
 
 def identify(docs: DataFrame, weights: Weights | None, *, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    # Plain values: a broadcast carries no classes.
+    shared = docs.sparkSession.sparkContext.broadcast(weights and (weights.langs, weights.x, weights.u, weights.c, weights.out, weights.bias))
 
     def make():
-        w = shared.value
+        w = Weights(*shared.value) if shared.value else None
         tagger = Tagger(w) if w else None
 
         def many(texts: list) -> dict:
