@@ -1,9 +1,10 @@
-"""``python -m fairlead.cli process | validate | stats``"""
+"""``python -m fairlead.cli process | validate | stats | download``"""
 
 from __future__ import annotations
 
 import argparse
 import sys
+from datetime import date
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -12,6 +13,7 @@ from fairlead.config import Config
 from fairlead.operators.catalog import catalog_stats
 from fairlead.plans.runs import process
 from fairlead.sources import sinks
+from fairlead.sources.downloads import download_range
 
 
 def session() -> SparkSession:
@@ -36,10 +38,20 @@ def main(args: list[str] | None = None) -> int:
     stats = commands.add_parser("stats", help="statistics of the track catalog")
     for c in (run, audit, stats):
         c.add_argument("--config", "-c", default="config.yaml")
-        c.add_argument("--output", "-o", help="also write the result to this JSON file")
+        c.add_argument("--output", "-o", "--output-stats", "--report", help="also write the result to this JSON file")
+    fetch = commands.add_parser("download", help="fetch the published files of a date range")
+    fetch.add_argument("--start", type=date.fromisoformat, required=True)
+    fetch.add_argument("--end", type=date.fromisoformat, required=True)
+    fetch.add_argument("--base-url", required=True)
+    fetch.add_argument("--force", action="store_true", help="also fetch files that are there")
+    fetch.add_argument("--config", "-c", default="config.yaml")
     given = parser.parse_args(args)
     config, spark = Config.load(given.config), session()
     clean_dir = str(config.storage.path("clean_dir"))
+    if given.command == "download":
+        got, skipped = download_range(spark, given.base_url, config.storage.path("raw_dir"), given.start, given.end, given.force)
+        show("download", {"downloaded": got, "skipped": skipped})
+        return 0
     if given.command == "process":
         result = process(spark, config, resume=given.resume and not given.reset, max_files=given.max_files)
     elif given.command == "validate":

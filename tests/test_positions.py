@@ -281,6 +281,11 @@ def test_downloads(spark, tmp_path):
     span = (date(2024, 3, 1), date(2024, 3, 2))
     assert downloads.download_range(spark, url, tmp_path / "got", *span) == (1, 0)
     assert downloads.download_range(spark, url, tmp_path / "got", *span) == (0, 1)
+    from fairlead import cli
+
+    (tmp_path / "c.yaml").write_text(f"storage: {{raw_dir: {tmp_path}/cli}}\n")
+    assert cli.main(["download", "-c", str(tmp_path / "c.yaml"), "--base-url", url, "--start", "2024-03-01", "--end", "2024-03-01"]) == 0
+    assert (tmp_path / "cli" / "2024" / "aisdk-2024-03-01.zip").exists()
     server.shutdown()
 
 
