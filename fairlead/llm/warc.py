@@ -80,6 +80,8 @@ def header(kind: str, n: int | None, uri: str | None, digest: str, size: int, le
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI that Arrow can open (local, hdfs, s3, gs, abfs), and the path within it."""
+    path = path.replace("s3a://", "s3://", 1)
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
