@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +98,53 @@ def map_rows(df: DataFrame, column: str, fields: list[T.StructField], make: Call
     return out.drop(tmp) if tmp else out
 
 
+def map_groups(df: DataFrame, key: str, fn: Callable[[pa.Table, np.ndarray], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """Rows dealt out and sorted by ``key`` (a long), handed to ``fn`` as tables of whole groups with the places where groups start. Small groups come many at a time, so none costs a call; callers bound the size of a group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(at).to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1])) if last is None or keys[-1] != last else 0
+            if last is not None and keys[-1] != last and cut == 0 or cut:
+                whole = pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
+                held = []
+                if whole.num_rows:
+                    k = whole.column(at).to_numpy()
+                    out = fn(whole, np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])))
+                    if out is not None:
+                        yield out
+            held.append(batch.slice(cut))
+            last = keys[-1]
+        if held:
+            whole = pa.Table.from_batches(held).combine_chunks()
+            k = whole.column(at).to_numpy()
+            out = fn(whole, np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])))
+            if out is not None:
+                yield out
+
+    at = df.columns.index(key)
+    return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
+
+
+def join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels in which the ends of each pair (a, b) and all they were joined to have their smallest."""
+    while len(a):
+        low = np.minimum(labels[a], labels[b])
+        new = labels.copy()
+        np.minimum.at(new, labels[a], low)
+        np.minimum.at(new, labels[b], low)
+        while not np.array_equal(jumped := new[new], new):
+            new = jumped
+        labels = new[labels]
+        left = labels[a] != labels[b]
+        a, b = a[left], b[left]
+    return labels
+
+
 def skew_join(left: DataFrame, right: DataFrame, keys: str | list[str], weight: str, how: str = "left") -> DataFrame:
     """Join rows of ``left`` to the one row of ``right`` with their ``keys`` (never null), whatever the skew. ``how``: left or inner.
 

@@ -1,8 +1,8 @@
 """SimHash near-duplicates by the generalised pigeonhole principle.
 
-A fingerprint's 64 bits are grouped into partitions, correlated bits together. If two fingerprints differ in at most ``tau`` bits, then for any thresholds t_i >= -1 with sum tau - m + 1 over the m partitions some partition differs in at most t_i bits (-1: never). The number of partitions follows from the number of fingerprints; the thresholds are allocated by dynamic programming on candidate counts estimated from the partitions' value counts over all fingerprints. Every fingerprint is indexed by its partition values and probes those within t_i; what meets is verified on all bits, and reported by the first partition that finds it only, so no pair comes twice.
+A fingerprint's 64 bits are grouped into partitions, correlated bits together. If two fingerprints differ in at most ``tau`` bits, then for any thresholds t_i >= -1 with sum tau - m + 1 over the m partitions some partition differs in at most t_i bits (-1: never). The number of partitions follows from the number of fingerprints; the thresholds are allocated by dynamic programming on candidate counts estimated from the partitions' value counts over all fingerprints. Every fingerprint is indexed by its partition values and probes those within t_i; what meets at a value is verified on all bits, by whole arrays.
 
-Values that very many fingerprints share are crowds (``CROWD`` or more for a tau of 2 or less, else ``BLOCK``). With tau of 2 or less what belongs to one is linked exactly another way: each fingerprint lists the 65 points within one bit of it, and two are within two bits if and only if they list a common point; at most 65 fingerprints list any point, and each is linked to the point's smallest. For greater tau crowds are compared in blocks dealt over tasks. Nothing is dropped.
+Links are returned as those that connect what each value brings together, at most one a fingerprint and value, so a group of thousands of near copies does not become millions of pairs. Values that more than ``BLOCK`` fingerprints share are crowds. With tau of 2 or less what belongs to one is linked exactly another way: each fingerprint lists the 65 points within one bit of it, and two are within two bits if and only if they list a common point; at most 65 fingerprints list any point, and each is linked to the point's smallest. For greater tau a crowd is compared in blocks dealt over tasks. Nothing is dropped.
 
 Copies share a fingerprint and are one node from the start; links join nodes, components come from ``graph.components``, and documents get them back by a join that broadcasts hot fingerprints.
 
@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, free_name, map_rows, materialize, skew_join
+from .common import LOWER, free_name, join_labels, map_groups, map_rows, materialize, skew_join
 from .graph import components
 
 SHINGLE = 3
 SEED = 42
 TAU = 2
-CROWD = 256
+#: Fingerprints of one value that are compared in one task.
 BLOCK = 4096
 #: Cost of one probe row (shuffled, sorted), in compared pairs.
 PROBE_COST = 200
@@ -185,8 +185,43 @@ def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
-def close_pairs(nodes: DataFrame, tau: int, *, more: list[str] = [], also=None, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:  # noqa: B006
-    """(u, v) of nodes (node, fp, *more) within ``tau`` bits, u < v, each once; or, for members of crowds with tau <= 2, links that connect them the same way. ``also(a, b)`` may add a condition on the ``more`` columns. ``nodes`` must be materialised."""
+def _links_of_groups(tau: int, more: list[str], most: int | None):
+    """Makes links out of groups of rows (role: 0 found, 1 finding, 2 both): within ``tau`` bits, and if ``most`` is given within that many bits over the ``more`` columns together."""
+
+    def fn(whole: pa.Table, starts: np.ndarray) -> pa.RecordBatch | None:
+        ends = np.append(starts[1:], whole.num_rows)
+        fp, role = whole.column("fp").to_numpy().view(np.uint64), whole.column("role").to_numpy()
+        name = whole.column("name").to_numpy()
+        extra = [whole.column(c).to_numpy().view(np.uint64) for c in more]
+        us, vs = [], []
+        for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
+            finds, found = s + np.flatnonzero(role[s:e] >= 1), s + np.flatnonzero(role[s:e] != 1)
+            _, same = np.unique(name[s:e], return_inverse=True)
+            first = np.full(same.max() + 1, e - s, dtype=np.int64)
+            np.minimum.at(first, same, np.arange(e - s))
+            labels = np.arange(e - s)
+            for i in range(0, len(finds), 512):
+                part = finds[i : i + 512]
+                x, y = np.nonzero(np.bitwise_count(fp[part, None] ^ fp[None, found]) <= tau)
+                x, y = part[x], found[y]
+                if most is not None and len(x):
+                    near = sum(np.bitwise_count(c[x] ^ c[y]).astype(np.int64) for c in extra) <= most
+                    x, y = x[near], y[near]
+                labels = join_labels(labels, first[same[x - s]], first[same[y - s]])
+            moved = np.flatnonzero((labels != np.arange(e - s)) & (first[same] == np.arange(e - s)))
+            us.append(labels[moved] + s)
+            vs.append(moved + s)
+        if not us or not sum(map(len, us)):
+            return None
+        node = whole.column("node")
+        return pa.RecordBatch.from_arrays([node.take(pa.array(np.concatenate(z))).combine_chunks() for z in (us, vs)], names=["u", "v"])
+
+    return fn
+
+
+def close_links(nodes: DataFrame, tau: int, *, more: list[str] | None = None, most: int | None = None, block: int = BLOCK) -> DataFrame:
+    """Links (u, v) among nodes (node, fp, *more), each within ``tau`` bits or connected by such, that have the same components as all pairs within ``tau`` bits. ``most`` bounds the bits over the ``more`` columns too. ``nodes`` must be materialised."""
+    more = more or []
     n = nodes.count()
     m = count_of_partitions(tau, max(n, 2))
     parts = group_bits(correlation(nodes), m)
@@ -195,38 +230,32 @@ def close_pairs(nodes: DataFrame, tau: int, *, more: list[str] = [], also=None,
     same = {r["i"]: float(r["s"]) for r in values.groupBy("i").agg(F.sum(F.col("_w").cast("double") * (F.col("_w") - 1) / 2).alias("s")).collect()}
     ts = allocate(tau, [len(p) for p in parts], n, [same.get(i, 0.0) for i in range(m)])
     used = [i for i in range(m) if ts[i] >= 0]
-    keyed = keyed.filter(F.col("i").isin(used))
-    flips = F.create_map(*[x for i in used for x in (F.lit(i), F.lit(_masks(len(parts[i]), ts[i])).cast("array<bigint>"))])
-    probes = keyed.withColumn("key", F.explode(F.transform(F.element_at(flips, F.col("i")), lambda x: x.bitwiseXOR(F.col("key")))))
-    crowds = materialize(values.filter((F.col("_w") > (crowd if tau <= 2 else block)) & F.col("i").isin(used)).withColumn("_blocks", F.ceil(F.col("_w") / block).cast("int")), "crowds")
-    some = not crowds.isEmpty()
+    flipped = [i for i in used if ts[i] > 0]
+    keyed = keyed.filter(F.col("i").isin(used)).withColumn("role", F.when(F.col("i").isin(flipped), 0).otherwise(2).cast("byte"))
+    if flipped:
+        masks = F.create_map(*[x for i in flipped for x in (F.lit(i), F.lit(_masks(len(parts[i]), ts[i])).cast("array<bigint>"))])
+        probes = keyed.filter(F.col("i").isin(flipped)).withColumns({"role": F.lit(1).cast("byte"), "key": F.explode(F.transform(F.element_at(masks, F.col("i")), lambda x: x.bitwiseXOR(F.col("key"))))})
+        keyed = keyed.unionByName(probes)
+    crowds = materialize(values.filter((F.col("_w") > block) & F.col("i").isin(used)).withColumn("_blocks", F.ceil(F.col("_w") / block).cast("int")), "crowds")
     extra = None
-    if some and tau <= 2:
-        split = skew_join(keyed, crowds, ["i", "key"], "_w")
-        reach = materialize(skew_join(probes, crowds, ["i", "key"], "_w").filter(F.col("_blocks").isNotNull()).select("node", "fp").distinct(), "reach")
-        extra = _ball_links(reach)
-        keyed = split.filter(F.col("_blocks").isNull()).drop("_blocks")
-        probes = probes.withColumn("_part", F.lit(0))
-        keyed = keyed.withColumn("_part", F.lit(0))
-    elif some:
-        # A crowd's index rows are dealt to blocks by hash, its probes go to every block.
-        keyed = skew_join(keyed, crowds, ["i", "key"], "_w").withColumn("_part", F.pmod(F.xxhash64("node"), F.coalesce("_blocks", F.lit(1))).cast("int")).drop("_blocks")
-        probes = skew_join(probes, crowds, ["i", "key"], "_w").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1))).drop("_blocks")
-    else:
-        keyed, probes = keyed.withColumn("_part", F.lit(0)), probes.withColumn("_part", F.lit(0))
-    b = keyed.select("i", "key", "_part", F.col("node").alias("v"), F.col("fp").alias("_fv"), *[F.col(c).alias(f"_v_{c}") for c in more])
-    a = probes.select("i", "key", "_part", F.col("node").alias("u"), F.col("fp").alias("_fu"), *[F.col(c).alias(f"_u_{c}") for c in more])
-    x = F.col("_fu").bitwiseXOR(F.col("_fv"))
-    on = (a["i"] == b["i"]) & (a["key"] == b["key"]) & (a["_part"] == b["_part"]) & (F.col("u") < F.col("v")) & (F.bit_count(x) <= tau)
-    for j in used:
-        mask = _signed(sum(1 << bit for bit in parts[j]))
-        # Crowds of a tau up to 2 are linked apart, so there an earlier partition may not report the pair.
-        if not (some and tau <= 2):
-            on = on & ((a["i"] <= j) | (F.bit_count(x.bitwiseAND(F.lit(mask))) > ts[j]))
-    if also is not None:
-        on = on & also(lambda c: F.col(f"_u_{c}"), lambda c: F.col(f"_v_{c}"))
-    pairs = a.join(b, on).select("u", "v")
-    return pairs if extra is None else pairs.unionByName(extra)
+    group = F.xxhash64("i", "key")
+    if not crowds.isEmpty():
+        keyed = skew_join(keyed, crowds, ["i", "key"], "_w")
+        crowded = F.col("_blocks").isNotNull()
+        if tau <= 2:
+            extra = _ball_links(materialize(keyed.filter(crowded).select("node", "fp").distinct(), "crowded"))
+            keyed = keyed.filter(~crowded)
+        else:
+            # What is found lies in one block by hash; what finds goes to every block.
+            alone = keyed.filter(~crowded).withColumn("_part", F.lit(0))
+            found = keyed.filter(crowded & (F.col("role") != 1)).withColumns({"role": F.lit(0).cast("byte"), "_part": F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")})
+            finds = keyed.filter(crowded & (F.col("role") != 0)).withColumns({"role": F.lit(1).cast("byte"), "_part": F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))})
+            keyed = alone.unionByName(found).unionByName(finds)
+            group = F.xxhash64("i", "key", "_part")
+    dealt = keyed.select(group.alias("_g"), "node", F.xxhash64("node").alias("name"), "fp", "role", *more)
+    kind = nodes.schema["node"].dataType.simpleString()
+    links = map_groups(dealt, "_g", _links_of_groups(tau, more, most), f"u {kind}, v {kind}")
+    return links if extra is None else links.unionByName(extra)
 
 
 def _ball_links(members: DataFrame) -> DataFrame:
@@ -237,11 +266,11 @@ def _ball_links(members: DataFrame) -> DataFrame:
     return met.select(F.array_min("all").alias("u"), F.explode("all").alias("v")).filter("u < v").distinct()
 
 
-def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, tau: int = TAU, crowd: int = CROWD) -> DataFrame:
+def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, tau: int = TAU, block: int = BLOCK) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits) and component_id, the smallest id reachable over links of at most ``tau`` bits."""
     prints = materialize(fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), shingle=shingle, seed=seed).select("doc_id", "fp"), "prints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("_w")).withColumn("node", F.col("fp")), "nodes")
-    roots = components(close_pairs(nodes.select("node", "fp"), tau, crowd=crowd))
+    roots = components(close_links(nodes.select("node", "fp"), tau, block=block))
     rooted = materialize(nodes.join(roots, "node", "left").select("fp", "first", "_w", F.coalesce("root", "node").alias("root")), "rooted")
     least = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("_n")), "least")
     named = materialize(skew_join(rooted, least, "root", "_n").select("fp", "component_id", "_w"), "named")
@@ -252,13 +281,16 @@ def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 NEAR_SHINGLE = 5
 SIMILARITY = 0.8
 NEAR_TAU = 8
+#: Nodes whose shingle sets are compared in one task, and shingles in all of these together.
+FAMILY = 2048
+FAMILY_SHINGLES = 2_000_000
 _SKETCH = 256
 
-_NEAR = [T.StructField("fp", T.LongType()), *[T.StructField(f"s{i}", T.LongType()) for i in range(_SKETCH // 64)]]
+_NEAR = [T.StructField("n_shingles", T.LongType()), T.StructField("fp", T.LongType()), *[T.StructField(f"s{i}", T.LongType()) for i in range(_SKETCH // 64)]]
 
 
 class NearPrints:
-    """Of a text the fingerprint over its distinct words, and a sketch of its shingle set: the lowest bit of each of 256 minimum hashes. Of two sets with Jaccard similarity s the sketches differ in (1 - s) / 2 of their bits on average."""
+    """Of a text the size of its shingle set, the fingerprint over its distinct words, and a sketch of its shingle set: the lowest bit of each of 256 minimum hashes. Of two sets with Jaccard similarity s the sketches differ in (1 - s) / 2 of their bits on average."""
 
     def __init__(self, shingle: int) -> None:
         rng = np.random.default_rng(11)
@@ -279,7 +311,8 @@ class NearPrints:
         if not words:
             return [0] * len(_NEAR)
         sets = [np.unique(h) for h in shingle_hashes(text, self.shingle)]
-        return [majority(iter([np.unique(np.concatenate(words))])), *self.sketch(np.concatenate(sets))]
+        shingles = np.unique(np.concatenate(sets))
+        return [len(shingles), majority(iter([np.unique(np.concatenate(words))])), *self.sketch(shingles)]
 
 
 def shingle_set(text: str | None, k: int) -> list[int]:
@@ -293,6 +326,59 @@ def most_sketch_bits(similarity: float) -> int:
     return math.ceil(_SKETCH * p + 4 * math.sqrt(_SKETCH * p * (1 - p)))
 
 
+def _similar_in_groups(similarity: float):
+    """Makes links out of groups of rows (node, set): pairs whose sets have at least this Jaccard similarity. For each set, the lists of those that share its members are counted."""
+
+    def fn(whole: pa.Table, starts: np.ndarray) -> pa.RecordBatch | None:
+        ends = np.append(starts[1:], whole.num_rows)
+        sets = whole.column("set").combine_chunks()
+        offsets, values = sets.offsets.to_numpy(), sets.values.to_numpy()
+        us, vs = [], []
+        for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
+            size = np.diff(offsets[s : e + 1])
+            _, member = np.unique(values[offsets[s] : offsets[e]], return_inverse=True)
+            owner = np.repeat(np.arange(e - s), size)
+            order = np.argsort(member, kind="stable")
+            lists, first = owner[order], np.searchsorted(member[order], np.arange(member.max() + 2 if len(member) else 1))
+            length, at = np.diff(first), offsets[s : e + 1] - offsets[s]
+            labels = np.arange(e - s)
+            for i in range(e - s):
+                shared = np.zeros(e - s, dtype=np.int64)
+                for j in range(at[i], at[i + 1], 1024):
+                    own = member[j : min(j + 1024, at[i + 1])]
+                    n = length[own]
+                    reach = np.repeat(first[own] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                    shared += np.bincount(lists[reach], minlength=e - s)
+                shared = shared[:i]
+                near = np.flatnonzero(shared >= similarity * (size[i] + size[:i] - shared))
+                near = near[labels[near] != labels[i]]
+                if len(near):
+                    labels = join_labels(labels, np.full(len(near), i), near)
+            moved = np.flatnonzero(labels != np.arange(e - s))
+            us.append(labels[moved] + s)
+            vs.append(moved + s)
+        if not us or not sum(map(len, us)):
+            return None
+        node = whole.column("node")
+        return pa.RecordBatch.from_arrays([node.take(pa.array(np.concatenate(z))).combine_chunks() for z in (us, vs)], names=["u", "v"])
+
+    return fn
+
+
+def _verified(keyed: DataFrame, nodes: DataFrame, families: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links (u, v) that connect the nodes of each family (node, root) whose shingle sets, compared whole, are similar. Families beyond ``FAMILY`` nodes or ``FAMILY_SHINGLES`` are split by hash and compared two parts at a time."""
+    many = F.greatest(F.count("*") / FAMILY, F.sum("n_shingles") / FAMILY_SHINGLES)
+    sizes = materialize(families.join(nodes.select("node", "n_shingles"), "node").groupBy("root").agg(F.count("*").alias("_w"), F.ceil(many).cast("int").alias("_parts")), "families")
+    parted = skew_join(families, sizes, "root", "_w").withColumn("_part", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
+    # Two parts meet in the group of their smaller and greater number; with one part there is one group.
+    met = parted.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).select("node", F.xxhash64("root", F.least("_part", "_other"), F.greatest("_part", "_other")).alias("_g"))
+    wanted = families.select("node").join(nodes.select("node", "first"), "node")
+    rows = keyed.join(wanted, (keyed["node"] == wanted["node"]) & keyed["id"].eqNullSafe(wanted["first"])).select(keyed["node"], "text").dropDuplicates(["node"])
+    field = T.StructField("set", T.ArrayType(T.LongType()))
+    sets = materialize(map_rows(rows, "text", [field], lambda: lambda texts: {"set": [shingle_set(t, shingle) for t in texts]}).drop("text"), "sets")
+    return map_groups(met.join(sets, "node").select("_g", "node", "set"), "_g", _similar_in_groups(similarity), "u binary, v binary")
+
+
 def near_classes(docs: DataFrame, *, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, tau: int = NEAR_TAU) -> tuple[DataFrame, DataFrame]:
     """From docs (id, text): the prints (id, node), and (node, id) of the one document of each class that stays. A node is a text by its MD5 (texts without words are one node)."""
     worded = F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
@@ -306,25 +392,10 @@ def near_classes(docs: DataFrame, *, shingle: int = NEAR_SHINGLE, similarity: fl
     prints = materialize(map_rows(keyed, "text", _NEAR, make).drop("text"), "prints")
     nodes = materialize(prints.groupBy("node").agg(*[F.first(c).alias(c) for c in names], F.min("id").alias("first")), "nodes")
     bits = most_sketch_bits(similarity)
-    also = lambda u, v: sum(F.bit_count(u(c).bitwiseXOR(v(c))) for c in names[1:]) <= bits
-    pairs = materialize(close_pairs(nodes.select("node", *names), tau, more=names[1:], also=also), "pairs")
-
-    def verified(some: DataFrame) -> DataFrame:
-        """The pairs whose shingle sets are as similar as asked, compared whole."""
-        wanted = some.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "first"), "node")
-        rows = keyed.join(wanted, (keyed["node"] == wanted["node"]) & keyed["id"].eqNullSafe(wanted["first"])).select(keyed["node"], "text").dropDuplicates(["node"])
-        field = T.StructField("set", T.ArrayType(T.LongType()))
-        sets = materialize(map_rows(rows, "text", [field], lambda: lambda texts: {"set": [shingle_set(t, shingle) for t in texts]}).drop("text"), "sets")
-        both = some.join(sets.select(F.col("node").alias("u"), F.col("set").alias("_a")), "u").join(sets.select(F.col("node").alias("v"), F.col("set").alias("_b")), "v")
-        shared = F.size(F.array_intersect("_a", "_b"))
-        return both.filter(shared >= F.lit(similarity) * (F.size("_a") + F.size("_b") - shared)).select("u", "v")
-
-    # First one pair for each node; then those of the rest whose ends these have not yet brought together.
-    stars = materialize(verified(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")), "stars")
-    once = materialize(components(stars), "once")
-    root = lambda c: once.select(F.col("node").alias(c), F.col("root").alias(f"_r_{c}"))
-    apart = pairs.join(root("u"), "u", "left").join(root("v"), "v", "left").filter(F.coalesce("_r_u", "u") != F.coalesce("_r_v", "v")).select("u", "v")
-    links = stars.unionByName(verified(materialize(apart, "apart")))
+    likely = materialize(close_links(nodes.select("node", *names[1:]), tau, more=names[2:], most=most_sketch_bits(similarity)), "likely")
+    linked = materialize(components(likely), "linked")
+    families = linked.select("node", "root").unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
+    links = _verified(keyed, nodes, families, shingle, similarity)
     roots = components(links)
     rooted = materialize(nodes.select("node", "first").join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "rooted")
     kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("k")).select(F.col("k.node").alias("node"), F.col("k.first").alias("id"))

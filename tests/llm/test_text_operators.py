@@ -8,13 +8,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from fairlead.llm import chat, decontaminate, graph, language, line_dedup, mix, quality, queries, simhash, tokens, url_filter, warc
+from fairlead.llm import chat, common, decontaminate, graph, language, line_dedup, mix, quality, queries, simhash, tokens, url_filter, warc
 from fairlead.llm.common import materialize, skew_join
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -260,8 +261,8 @@ def test_pieces_of_long_texts(monkeypatch):
     assert {x % 2**64 for x in simhash.shingle_set(text, 5)} == want
 
 
-@pytest.mark.parametrize(("tau", "crowd", "block"), [(2, 256, 4096), (2, 2, 4096), (5, 256, 6)])
-def test_pairs_within_tau(spark, tau, crowd, block):
+@pytest.mark.parametrize(("tau", "block"), [(2, 4096), (2, 2), (5, 4096), (5, 6)])
+def test_links_within_tau(spark, tau, block):
     rng = random.Random(tau)
     base = [rng.getrandbits(64) for _ in range(12)]
     prints = set()
@@ -272,13 +273,39 @@ def test_pairs_within_tau(spark, tau, crowd, block):
         prints.add(x)
     signed = sorted(x - 2**64 if x >= 2**63 else x for x in prints)
     nodes = materialize(spark.createDataFrame([(x, x) for x in signed], "node long, fp long"))
-    pairs = simhash.close_pairs(nodes, tau, crowd=crowd, block=block)
-    roots = {r["node"]: r["root"] for r in graph.components(pairs).collect()}
+    links = materialize(simhash.close_links(nodes, tau, block=block))
+    roots = {r["node"]: r["root"] for r in graph.components(links).collect()}
     want = brute_components([x % 2**64 for x in signed], tau)
     assert [roots.get(x, x) for x in signed] == [signed[i] for i in want]
-    if tau > 2 or crowd > 100:
-        got = [(r["u"], r["v"]) for r in pairs.collect()]
-        assert sorted(got) == sorted((a, b) for a in signed for b in signed if a < b and ((a ^ b) % 2**64).bit_count() <= tau)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 20), st.integers(0, 20)), max_size=30), st.integers(1, 30))
+def test_labels(pairs, cut):
+    labels = np.arange(21)
+    for i in range(0, len(pairs), cut):
+        part = np.array(pairs[i : i + cut], dtype=np.int64)
+        labels = common.join_labels(labels, part[:, 0], part[:, 1])
+    want = list(range(21))
+    for a, b in pairs:
+        x, y = sorted((want[a], want[b]))
+        want = [x if v == y else v for v in want]
+    assert labels.tolist() == want
+
+
+def test_groups_across_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(500).select(F.when(F.col("id") < 200, 5).otherwise(F.col("id") % 13).cast("long").alias("g"), "id")
+
+        def fn(whole, starts):
+            ends = np.append(starts[1:], whole.num_rows)
+            return pa.RecordBatch.from_arrays([pa.array(whole.column("g").to_numpy()[starts]), pa.array(ends - starts)], names=["g", "n"])
+
+        got = common.map_groups(df, "g", fn, "g long, n long").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r["g"]: r["n"] for r in got} == Counter(5 if i < 200 else i % 13 for i in range(500)) and len(got) == 13
 
 
 def test_thresholds_cover():
@@ -300,7 +327,9 @@ def jaccard(a, b, k=5):
     return len(x & y) / len(x | y) if x | y else 1.0
 
 
-def test_near_copies(spark):
+@pytest.mark.parametrize("family", [2048, 3])
+def test_near_copies(spark, monkeypatch, family):
+    monkeypatch.setattr(simhash, "FAMILY", family)
     rng = random.Random(8)
     vocabulary = [f"w{i}" for i in range(400)]
     texts = []
@@ -562,8 +591,6 @@ def test_rules(spark):
 
 
 def test_skewed_join(spark, monkeypatch):
-    from fairlead.llm import common
-
     monkeypatch.setattr(common, "HOT_KEYS", 4)
     left = spark.range(100).select(F.col("id"), F.when(F.col("id") < 60, 0).otherwise(F.col("id")).alias("k"))
     right = left.groupBy("k").agg(F.count("*").alias("w")).withColumn("v", F.col("k") + 1)
