@@ -22,7 +22,8 @@ from .common import SPACE, free_name, materialize
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3.0
 #: Documents rounded in one leaf, and leaves' residuals that meet in one group.
-LEAF, FAN = 20_000, 512
+LEAF, FAN = 500, 64
+TRIES = 16
 #: A mixture names its sources; more than this are refused, so that the table of targets can be broadcast.
 MAX_SOURCES = 100_000
 
@@ -93,17 +94,21 @@ def _uniform(ids: np.ndarray, level: int, seed: int) -> np.ndarray:
 
 
 def _round_group(level: int, seed: int, last: bool):
-    """Largest documents first, so that those that meet are of like size and the one left over is small."""
+    """Largest documents first, so that those that meet are of like size and the one left over tends to be small. At the root of a source, where that one is drawn alone, the best of ``TRIES`` sets of draws counts: the one that leaves the source nearest to its target."""
+
+    def attempt(pdf: pd.DataFrame, t: int) -> tuple[np.ndarray, float]:
+        tie, size = pdf["tie"].to_numpy(), pdf["size"].to_numpy(dtype=float)
+        p, left = duel(pdf["p"].to_numpy(dtype=float), size, _uniform(tie + np.arange(len(pdf)), level + 7919 * t, seed))
+        if not last or left < 0:
+            return p, 0.0
+        before = p[left]
+        p[left] = float(_uniform(tie[left : left + 1], level + 1000 + 7919 * t, seed)[0] < before)
+        return p, abs(p[left] - before) * size[left]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "tie"], ascending=[False, True], kind="stable", ignore_index=True)
-        u = _uniform(pdf["tie"].to_numpy() + np.arange(len(pdf)), level, seed)
-        p, left = duel(pdf["p"].to_numpy(dtype=float), pdf["size"].to_numpy(dtype=float), u)
-        if last and left >= 0:
-            p[left] = float(_uniform(pdf["tie"].to_numpy()[left : left + 1], level + 1000, seed)[0] < p[left])
-            left = -1
-        done = np.where((p == 0.0) | (p == 1.0), p, 0.0).astype(np.int64)
-        pdf["copies"] = pdf["copies"] + done
+        p = min((attempt(pdf, t) for t in range(TRIES if last else 1)), key=lambda x: x[1])[0]
+        pdf["copies"] = pdf["copies"] + (p == 1.0).astype(np.int64)
         pdf["p"] = np.where((p > 0.0) & (p < 1.0), p, 0.0)
         return pdf
 
