@@ -219,6 +219,15 @@ def _links_of_groups(tau: int, more: list[str], most: int | None):
     return fn
 
 
+def _in_blocks(keyed: DataFrame) -> DataFrame:
+    """Rows with ``_part``, those of crowds (with ``_blocks``) dealt out: what is found lies in one block by hash; what finds goes to every block."""
+    crowded = F.col("_blocks").isNotNull()
+    alone = keyed.filter(~crowded).withColumn("_part", F.lit(0))
+    found = keyed.filter(crowded & (F.col("role") != 1)).withColumns({"role": F.lit(0).cast("byte"), "_part": F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")})
+    finds = keyed.filter(crowded & (F.col("role") != 0)).withColumns({"role": F.lit(1).cast("byte"), "_part": F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))})
+    return alone.unionByName(found).unionByName(finds)
+
+
 def close_links(nodes: DataFrame, tau: int, *, more: list[str] | None = None, most: int | None = None, block: int = BLOCK) -> DataFrame:
     """Links (u, v) among nodes (node, fp, *more), each within ``tau`` bits or connected by such, that have the same components as all pairs within ``tau`` bits. ``most`` bounds the bits over the ``more`` columns too. ``nodes`` must be materialised."""
     more = more or []
@@ -246,11 +255,7 @@ def close_links(nodes: DataFrame, tau: int, *, more: list[str] | None = None, mo
             extra = _ball_links(materialize(keyed.filter(crowded).select("node", "fp").distinct(), "crowded"))
             keyed = keyed.filter(~crowded)
         else:
-            # What is found lies in one block by hash; what finds goes to every block.
-            alone = keyed.filter(~crowded).withColumn("_part", F.lit(0))
-            found = keyed.filter(crowded & (F.col("role") != 1)).withColumns({"role": F.lit(0).cast("byte"), "_part": F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")})
-            finds = keyed.filter(crowded & (F.col("role") != 0)).withColumns({"role": F.lit(1).cast("byte"), "_part": F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))})
-            keyed = alone.unionByName(found).unionByName(finds)
+            keyed = _in_blocks(keyed)
             group = F.xxhash64("i", "key", "_part")
     dealt = keyed.select(group.alias("_g"), "node", F.xxhash64("node").alias("name"), "fp", "role", *more)
     kind = nodes.schema["node"].dataType.simpleString()
@@ -277,42 +282,56 @@ def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     return skew_join(prints, named, "fp", "_w").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-#: Near copies: five-word shingles and this Jaccard similarity; candidates come from fingerprints over distinct words within so many bits.
+#: Near copies: five-word shingles and this Jaccard similarity; candidates share a band of minimum hashes, which a pair that similar fails to do at most so often.
 NEAR_SHINGLE = 5
 SIMILARITY = 0.8
-NEAR_TAU = 8
+MISS = 1e-5
 #: Nodes whose shingle sets are compared in one task, and shingles in all of these together.
 FAMILY = 2048
 FAMILY_SHINGLES = 2_000_000
 _SKETCH = 256
 
-_NEAR = [T.StructField("n_shingles", T.LongType()), T.StructField("fp", T.LongType()), *[T.StructField(f"s{i}", T.LongType()) for i in range(_SKETCH // 64)]]
+_NEAR = [T.StructField("n_shingles", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), *[T.StructField(f"s{i}", T.LongType()) for i in range(_SKETCH // 64)]]
+
+
+def band_rows(similarity: float) -> int:
+    """The most minimum hashes a band can have so that a pair this similar shares none of the bands at most ``MISS`` of the time."""
+    return max((r for r in range(1, 17) if (1 - similarity**r) ** (_SKETCH // r) <= MISS), default=1)
 
 
 class NearPrints:
-    """Of a text the size of its shingle set, the fingerprint over its distinct words, and a sketch of its shingle set: the lowest bit of each of 256 minimum hashes. Of two sets with Jaccard similarity s the sketches differ in (1 - s) / 2 of their bits on average."""
+    """Of a text the size of its shingle set, and from 256 minimum hashes of that set a key for each band of them and a sketch, a bit of each. A minimum hash of two sets with Jaccard similarity s is the same with chance s, so their sketches differ in (1 - s) / 2 of their bits on average."""
 
-    def __init__(self, shingle: int) -> None:
+    def __init__(self, shingle: int, rows: int) -> None:
         rng = np.random.default_rng(11)
         self.shingle = shingle
+        self.rows = rows
         self.mul = (rng.integers(0, 2**32, _SKETCH, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
         self.add = rng.integers(0, 2**32, _SKETCH, dtype=np.uint64).astype(np.uint32)
+        self.fold = rng.integers(0, 2**63, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def sketch(self, hashes: np.ndarray) -> list[int]:
+    def lowest(self, hashes: np.ndarray) -> np.ndarray:
         low = np.full(_SKETCH, 0xFFFFFFFF, dtype=np.uint32)
         small = (hashes >> np.uint64(32)).astype(np.uint32)
         for i in range(0, len(small), 512):
             np.minimum(low, (small[i : i + 512, None] * self.mul + self.add).min(axis=0), out=low)
+        return low
+
+    def sketch(self, low: np.ndarray) -> list[int]:
         bits = ((low * np.uint32(0x9E3779B1)) >> np.uint32(31)).astype(bool)
         return np.packbits(bits, bitorder="little").view(np.int64).tolist()
 
-    def __call__(self, text: str | None) -> list[int]:
-        words = [np.unique(h) for h in shingle_hashes(text, 1)]
-        if not words:
-            return [0] * len(_NEAR)
+    def bands(self, low: np.ndarray) -> list[int]:
+        whole = low[: _SKETCH // self.rows * self.rows].reshape(-1, self.rows).astype(np.uint64)
+        return (whole * self.fold).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+
+    def __call__(self, text: str | None) -> list:
         sets = [np.unique(h) for h in shingle_hashes(text, self.shingle)]
+        if not sets:
+            return [0, [], *[0] * (_SKETCH // 64)]
         shingles = np.unique(np.concatenate(sets))
-        return [len(shingles), majority(iter([np.unique(np.concatenate(words))])), *self.sketch(shingles)]
+        low = self.lowest(shingles)
+        return [len(shingles), self.bands(low), *self.sketch(low)]
 
 
 def shingle_set(text: str | None, k: int) -> list[int]:
@@ -379,20 +398,34 @@ def _verified(keyed: DataFrame, nodes: DataFrame, families: DataFrame, shingle:
     return map_groups(met.join(sets, "node").select("_g", "node", "set"), "_g", _similar_in_groups(similarity), "u binary, v binary")
 
 
-def near_classes(docs: DataFrame, *, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, tau: int = NEAR_TAU) -> tuple[DataFrame, DataFrame]:
+def band_links(nodes: DataFrame, most: int, *, block: int = BLOCK) -> DataFrame:
+    """Links (u, v) that connect the nodes (node, bands, s0...) that share a band and whose sketches differ in at most ``most`` bits. ``nodes`` must be materialised."""
+    # Most bands are of one node only: they are told by their hash alone before sketches travel. Nodes of one name would only be compared.
+    named = nodes.select(F.xxhash64("node").alias("name"), "node", F.col("s0").alias("fp"), *[f"s{i}" for i in range(1, _SKETCH // 64)])
+    keyed = nodes.select(F.xxhash64("node").alias("name"), F.posexplode("bands").alias("i", "key")).select("name", F.xxhash64("i", "key").alias("_g"))
+    shared = materialize(keyed.groupBy("_g").agg(F.count("*").alias("_w")).filter("_w > 1").withColumn("_blocks", F.when(F.col("_w") > block, F.ceil(F.col("_w") / block)).cast("int")), "shared")
+    met = skew_join(keyed, shared, "_g", "_w", "inner").join(named, "name").withColumn("role", F.lit(2).cast("byte"))
+    if not shared.filter(F.col("_blocks").isNotNull()).isEmpty():
+        met = _in_blocks(materialize(met, "met")).withColumn("_g", F.xxhash64("_g", "_part"))
+    # No part of the sketch can differ in more bits than the whole: the first one is looked at before the others.
+    more = ["fp", *[f"s{i}" for i in range(1, _SKETCH // 64)]]
+    kind = nodes.schema["node"].dataType.simpleString()
+    return map_groups(met.select("_g", "node", "name", "role", *more), "_g", _links_of_groups(most, more, most), f"u {kind}, v {kind}")
+
+
+def near_classes(docs: DataFrame, *, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """From docs (id, text): the prints (id, node), and (node, id) of the one document of each class that stays. A node is a text by its MD5 (texts without words are one node)."""
     worded = F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
     keyed = docs.select("id", "text", F.when(worded, F.unhex(F.md5("text"))).otherwise(F.lit(b"")).alias("node"))
 
     def make():
-        prints = NearPrints(shingle)
+        prints = NearPrints(shingle, band_rows(similarity))
         return lambda texts: {f.name: list(x) for f, x in zip(_NEAR, zip(*map(prints, texts), strict=True), strict=True)} if texts else {f.name: [] for f in _NEAR}
 
     names = [f.name for f in _NEAR]
     prints = materialize(map_rows(keyed, "text", _NEAR, make).drop("text"), "prints")
     nodes = materialize(prints.groupBy("node").agg(*[F.first(c).alias(c) for c in names], F.min("id").alias("first")), "nodes")
-    bits = most_sketch_bits(similarity)
-    likely = materialize(close_links(nodes.select("node", *names[1:]), tau, more=names[2:], most=most_sketch_bits(similarity)), "likely")
+    likely = materialize(band_links(nodes.select("node", *names[1:]), most_sketch_bits(similarity), block=block), "likely")
     linked = materialize(components(likely), "linked")
     families = linked.select("node", "root").unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
     links = _verified(keyed, nodes, families, shingle, similarity)

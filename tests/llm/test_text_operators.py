@@ -358,6 +358,29 @@ def test_near_copies(spark, monkeypatch, family):
     assert kept == {find(i) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("block", [4096, 1])
+def test_near_copies_of_any_shape(spark, block):
+    """Truncated, appended to, a block swapped: contiguous edits move many bits of a fingerprint over words."""
+    rng = random.Random(18)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    texts = []
+    for k in range(120):
+        base = some(rng.randint(150, 400))
+        n, b = len(base), rng.randint(10, 40)
+        other = (base[: -(-n * 83 // 100)], base + some(n // 6), base[b : 2 * b] + base[:b] + base[2 * b :], base[: n // 2] + some(n // 12) + base[n // 2 + n // 12 :])[k % 4]
+        texts += [" ".join(base), " ".join(other)]
+    similar = {i for i in range(0, len(texts), 2) if jaccard(texts[i], texts[i + 1]) >= 0.8}
+    assert len(similar) > 100
+    kept = {r["doc_id"] for r in simhash.near_dedup(docs_of(spark, texts), block=block).collect()}
+    assert kept == {i for i in range(len(texts)) if i - 1 not in similar}
+
+
+def test_bands():
+    assert simhash.band_rows(0.8) == 6 and simhash.band_rows(0.5) == 2
+    assert all((1 - s ** simhash.band_rows(s)) ** (256 // simhash.band_rows(s)) <= 1e-5 for s in (0.3, 0.5, 0.7, 0.8, 0.9))
+
+
 def test_simhash_odd(odd, none):
     got = simhash.components_of(odd)
     assert got.count() == len(ODD)
