@@ -15,6 +15,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import SPACE, free_name, materialize
@@ -106,7 +107,8 @@ def _round_group(level: int, seed: int, last: bool):
         return p, abs(p[left] - before) * size[left]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "tie"], ascending=[False, True], kind="stable", ignore_index=True)
+        by = ["size", "tie", *[c for c in ("mark",) if c in pdf]]
+        pdf = pdf.sort_values(by, ascending=[False, *[True] * (len(by) - 1)], kind="stable", ignore_index=True)
         p = min((attempt(pdf, t) for t in range(TRIES if last else 1)), key=lambda x: x[1])[0]
         pdf["copies"] = pdf["copies"] + (p == 1.0).astype(np.int64)
         pdf["p"] = np.where((p > 0.0) & (p < 1.0), p, 0.0)
@@ -125,10 +127,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeats: floa
     return [(r["source"], r["s"], r["n"], t) for r, t in zip(rows, goal, strict=True)]
 
 
-def mix_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, max_repeats: float = MAX_REPEATS, seed: int = 42, leaf: int = LEAF, fan: int = FAN) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target (of its source), copies and taken (copies * size)."""
+def mix_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, max_repeats: float = MAX_REPEATS, seed: int = 42, leaf: int = LEAF, fan: int = FAN, marks: bool = False) -> DataFrame:
+    """Per document: doc_id, source, size, source_size, target (of its source), copies and taken (copies * size). With ``marks`` also mark, a hash of the text by which rows with the same id and size are then put in order."""
     spark = docs.sparkSession
-    sizes = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
+    extra = ["mark"] if marks else []
+    sizes = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), *[F.xxhash64(text_col).alias(c) for c in extra]), "sizes")
     found = source_targets(sizes, weights, max_repeats)
     id_type = sizes.schema["doc_id"].dataType.simpleString()
     spec = spark.createDataFrame([(s is None, s or "", z, t, max(1, math.ceil(n / leaf))) for s, z, n, t in found] or [(False, "", 0, 0.0, 1)], "_null boolean, _source string, source_size long, target double, _leaves long")
@@ -146,8 +149,9 @@ def mix_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         F.when(F.col("size") > 0, near - F.floor(near)).otherwise(0.0).alias("p"),
         F.xxhash64("doc_id", "size").alias("tie"),
         F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("_leaves")).alias("leaf"),
+        *extra,
     )
-    schema = _STATE.format(id=id_type)
+    schema = _STATE.format(id=id_type) + "".join(f", {c} long" for c in extra)
     levels, most = 0, max((math.ceil(n / leaf) for _, _, n, _ in found), default=1)
     while most > 1:
         levels, most = levels + 1, math.ceil(most / fan)
@@ -157,15 +161,30 @@ def mix_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         settled = state.filter(F.col("p") == 0.0)
         done = settled if done is None else done.unionByName(settled)
         state = state.filter(F.col("p") > 0.0).withColumn("leaf", F.floor(F.col("leaf") / fan))
-    return done.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return done.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *extra)
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", copies_as: str = "copies", **options) -> DataFrame:
-    """The mixture: each document that is taken, with its columns and its number of copies. Rows with the same id share out their copies by rank, so repeated rows keep their own."""
-    counts = mix_counts(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    taken = counts.filter(F.col("copies") > 0).select(F.col("doc_id").alias("_id"), F.col("source").alias("_s"), F.col("size").alias("_n"), F.col("copies").alias("_c"))
-    taken = taken.groupBy("_id", "_s", "_n").agg(F.sum("_c").alias("_c"), F.count("*").alias("_rows"))
+    """The mixture: each document that is taken, with its columns and its number of copies. Rows with the same id, source and text share out their copies by rank, so repeated rows keep their own."""
+    counts = mix_counts(docs, id_col=id_col, text_col=text_col, source_col=source_col, marks=True, **options)
+    keys = ["_id", "_s", "_n", "_m"]
+    taken = counts.groupBy(*[F.col(c).alias(k) for c, k in zip(("doc_id", "source", "size", "mark"), keys, strict=True)]).agg(F.sum("copies").alias("_c"), F.count("*").alias("_rows")).filter("_c > 0")
     name = free_name(docs.columns, copies_as)
-    own = docs.withColumns({"_id": F.col(id_col), "_s": F.col(source_col).cast("string"), "_n": word_count(F.col(text_col))})
-    joined = own.join(taken, own["_id"].eqNullSafe(taken["_id"]) & own["_s"].eqNullSafe(taken["_s"]) & (own["_n"] == taken["_n"]))
-    return joined.select(*[own[c] for c in docs.columns], taken["_c"].alias(name))
+    names = [free_name(keys, f"_c{i}") for i in range(len(docs.columns))]
+    own = docs.withColumns({"_id": F.col(id_col), "_s": F.col(source_col).cast("string"), "_n": word_count(F.col(text_col)), "_m": F.xxhash64(text_col)})
+    joined = own.join(taken, own["_id"].eqNullSafe(taken["_id"]) & own["_s"].eqNullSafe(taken["_s"]) & (own["_n"] == taken["_n"]) & (own["_m"] == taken["_m"]))
+    joined = joined.select(*[own[c].alias(n) for c, n in zip(docs.columns, names, strict=True)], *[taken[k].alias(k) for k in [*keys, "_c", "_rows"]])
+    # A source's draws are a number or one more, so the sum over repeated rows says how many of them have one more.
+    copies, more = F.expr("_c div _rows"), F.col("_c") % F.col("_rows")
+    if taken.filter(more > 0).isEmpty():
+        return joined.select(*names, copies).toDF(*docs.columns, name)
+    joined = materialize(joined.withColumn("_p", F.spark_partition_id()), "joined")
+    # Ranks count on from one partition to the next, so that a row repeated often is not one task.
+    parts = joined.filter(more > 0).groupBy(*keys, "_p").agg(F.count("*").alias("_k"))
+    before = F.sum("_k").over(W.partitionBy(*keys).orderBy("_p")) - F.col("_k")
+    parts = parts.select(*[F.col(k).alias(f"b{k}") for k in [*keys, "_p"]], before.alias("_before"))
+    same = [joined[k].eqNullSafe(parts[f"b{k}"]) for k in [*keys, "_p"]]
+    ranked = joined.filter(more > 0).join(parts, same).withColumn("_rank", F.row_number().over(W.partitionBy(*keys, "_p").orderBy("_p")) + F.col("_before"))
+    ranked = ranked.select(*names, (copies + (F.col("_rank") <= more).cast("long")).alias("_c"))
+    whole = joined.filter(more == 0).select(*names, copies.alias("_c"))
+    return whole.unionByName(ranked).filter("_c > 0").toDF(*docs.columns, name)

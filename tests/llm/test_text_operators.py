@@ -108,6 +108,19 @@ def test_mix_meets_targets_and_repeats(spark):
     assert sum(r["copies"] * len(words(r["text"])) for r in mix.mix(docs, leaf=100, fan=4).collect()) == sum(r["taken"] for r in got)
 
 
+def test_mix_rows_with_one_id(spark):
+    """Repeated rows, and different texts with a null or shared id and the same size, keep their own draws."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 1, 2, i]), " ".join(rng.choice("abcdef") for _ in range(rng.randint(5, 7))), "en", rng.choice("stu"), 0) for i in range(400)]
+    docs = spark.createDataFrame(rows + rows[:100], DOCS)
+    got = mix.mix(docs, leaf=50, fan=4).collect()
+    counts = mix.mix_counts(docs, leaf=50, fan=4).collect()
+    key = lambda r: (str(r["doc_id"]), r["source"])
+    assert sorted((*key(r), len(words(r["text"])), r["copies"]) for r in got) == sorted((*key(r), r["size"], r["copies"]) for r in counts if r["copies"])
+    again = mix.mix(docs.repartition(7), leaf=50, fan=4).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_mix_odd(odd, none):
     assert mix.mix_counts(odd).count() == len(ODD)
     assert mix.mix_counts(none).count() == 0 == mix.mix(none).count()
