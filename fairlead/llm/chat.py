@@ -2,7 +2,7 @@
 
 For every participant of a conversation the dialogue is rendered once with that speaker as ``assistant`` and everyone else as a named user; the mask holds the character ranges to learn from, the speaker's own turns with their end marks. Speakers named ``system`` take no part: their turns are rendered as ``system`` in every perspective.
 
-All by DataFrame functions. Turns are grouped in parts of ``PART`` turn numbers, so a conversation of any length is rendered in bounded pieces; a part that holds more than ``MOST`` rows (many rows with one turn number) is dealt out by turn and a hash of the row. For usual conversations there is one part, number 0.
+All by DataFrame functions. Turns are grouped in parts of ``PART`` turn numbers, so a conversation of any length is rendered in bounded pieces; a part is cut after every ``MOST`` rows in order into slots, so that joined by part and slot the pieces are the dialogue. For usual conversations there is one part, number 0, and one slot, number 0.
 
 Defined results: turns sort by number (null first, part -1), then speaker and text. A null speaker is named ``unknown``, a null text is empty. A null conversation id is a conversation. Repeated rows are rendered repeatedly. Conversations with no participant give no row. Control marks inside texts are broken up by a space and cannot open or close a turn. Extra columns are ignored. An empty table gives an empty result.
 """
@@ -10,6 +10,7 @@ Defined results: turns sort by number (null first, part -1), then speaker and te
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import materialize, skew_join
@@ -25,16 +26,31 @@ def _plain(text: Column) -> Column:
 
 
 def _parts(turns: DataFrame) -> DataFrame:
-    """Adds ``part`` and ``slot``: rows with the same conversation, part and slot are rendered together and are at most about MOST."""
+    """Adds ``part`` and ``slot``: rows with the same conversation, part and slot are rendered together and are at most MOST. The slot is the row's rank in its part over MOST, whatever the size of the part."""
     turns = turns.withColumn("part", F.coalesce(F.floor(F.col("turn") / PART), F.lit(-1)).cast("long"))
     key = F.xxhash64(F.col("conv_id").isNull(), "conv_id", "part")
     large = turns.groupBy(key.alias("_key")).agg(F.count("*").alias("_w")).filter(F.col("_w") > MOST)
     if large.isEmpty():
         return turns.withColumn("slot", F.lit(0).cast("long"))
-    large = materialize(large.withColumn("_shares", F.ceil(F.col("_w") / MOST)), "large")
+    large = materialize(large.withColumn("_large", F.lit(True)), "large")
     dealt = skew_join(turns.withColumn("_key", key), large, "_key", "_w")
-    own = F.coalesce(F.col("turn"), F.lit(-1)) * 1_000_000 + F.pmod(F.xxhash64("speaker", "text"), F.col("_shares"))
-    return dealt.withColumn("slot", F.when(F.col("_shares").isNull(), 0).otherwise(own).cast("long")).drop("_key", "_shares")
+    usual = dealt.filter(F.col("_large").isNull()).withColumn("slot", F.lit(0).cast("long")).drop("_key", "_large")
+    return usual.unionByName(_slots(dealt.filter(F.col("_large")).select(*turns.columns)))
+
+
+def _slots(turns: DataFrame) -> DataFrame:
+    """``turns`` with ``slot``. Equal rows are counted; different ones are sorted over tasks, so ranks are a running count within the task and the counts of the tasks before."""
+    place, order = ["conv_id", "part"], ["turn", "speaker", "text"]
+    rows = materialize(turns.groupBy(*place, *order).agg(F.count("*").alias("_n")), "rows")
+    ranged = materialize(rows.repartitionByRange(*place, *order).withColumn("_p", F.spark_partition_id()), "ranged")
+    tasks = ranged.groupBy(*place, "_p").agg(F.sum("_n").alias("_m"))
+    tasks = tasks.select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"), F.col("_p").alias("_q"), (F.sum("_m").over(W.partitionBy(*place).orderBy("_p")) - F.col("_m")).alias("_before"))
+    met = ranged.join(tasks, ranged["conv_id"].eqNullSafe(tasks["_conv"]) & (ranged["part"] == tasks["_part"]) & (ranged["_p"] == tasks["_q"]))
+    within = W.partitionBy(*place, "_p").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ends = met.withColumn("_end", F.sum("_n").over(within) + F.col("_before")).withColumn("_start", F.col("_end") - F.col("_n"))
+    cut = ends.withColumn("slot", F.explode(F.sequence(F.floor(F.col("_start") / MOST), F.floor((F.col("_end") - 1) / MOST))))
+    times = F.least(F.col("_end"), (F.col("slot") + 1) * MOST) - F.greatest(F.col("_start"), F.col("slot") * MOST)
+    return cut.withColumn("_", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select(*turns.columns, "slot")
 
 
 def rotate_perspectives(conversations: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", speaker_col: str = "role", text_col: str = "text") -> DataFrame:

@@ -525,6 +525,22 @@ def test_long_conversations_come_in_parts(spark, monkeypatch):
     assert len(many) > 3 and sum(r["n_turns"] for r in many) == 100
 
 
+def test_large_parts_are_cut_in_order(spark):
+    """More than MOST rows in a part: repeated turn numbers and rows, null turns, a null conversation; joined by part and slot it is the dialogue."""
+    rng = random.Random(12)
+    rows = [(1, rng.randrange(6), rng.choice(["ann", "bob", "system", None]), f"x{rng.randrange(400)}") for _ in range(900)] + [(1, 3, "bob", "same")] * 1300
+    rows += [(None, None, rng.choice("ab"), f"y{i}") for i in range(700)] + [(2, t % 128, "ab"[t % 2], f"z{t}") for t in range(512)] + [(3, t % 128, "ab"[t % 2], f"z{t}") for t in range(513)]
+    rng.shuffle(rows)
+    got = chat.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    joined, sizes = {}, {}
+    for r in sorted(got, key=lambda r: (r["part"], r["slot"])):
+        text, mask = joined.get((r["conv_id"], r["speaker"]), ("", []))
+        joined[r["conv_id"], r["speaker"]] = text + r["rendered"], mask + [(len(text) + m["start"], len(text) + m["end"]) for m in r["mask"]]
+        sizes.setdefault((r["conv_id"], r["speaker"]), []).append(r["n_turns"])
+    assert joined == brute_rotation(rows)
+    assert sizes[1, "ann"] == [512, 512, 512, 512, 152] and sizes[None, "a"] == [512, 188] and sizes[2, "a"] == [512] and sizes[3, "a"] == [512, 1]
+
+
 # 8. Tokens
 
 
