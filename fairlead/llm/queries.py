@@ -64,7 +64,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.archive(table(spark, sf_dir, "pages"))
-    return warc.records_of(warc.read_chunks(manifest, data=False))
+    return warc.records_of(warc.read_chunks(manifest))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -219,6 +219,14 @@ def test_warc_round_trip(spark):
     assert warc.read_chunks(warc.archive(df.filter("false"))).count() == 0
 
 
+def test_query_streams_whole_payloads(spark, small, monkeypatch):
+    seen, records_of = [], warc.records_of
+    monkeypatch.setattr(warc, "records_of", lambda chunks: seen.append(chunks) or records_of(chunks))
+    queries.op3_warc_chunks(spark, small)
+    held = seen[0].groupBy("file", "record").agg(F.sum(F.length("data")).alias("held"), F.max("n_bytes").alias("n_bytes"))
+    assert held.count() > 0 and held.filter(~F.col("held").eqNullSafe(F.col("n_bytes"))).count() == 0
+
+
 def test_warc_spots_damage():
     import gzip
     import io
