@@ -1,10 +1,10 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
-Each source has a target size; each of its documents the same expected number of copies, target / size of the source. The whole part of that is taken; the fractional parts are rounded dependently: two documents at a time transfer mass (probability times size) at random, up or down so that expectations stay, until one's probability is 0 or 1. The source's expected total therefore never moves; when one document is left with a fraction it is drawn alone, so a source ends within one document of its target.
+Each source has a target size; each of its documents the same expected number of copies, target / size of the source. The whole part of that is taken; the fractional parts are rounded dependently: two documents at a time transfer mass (probability times size) at random, up or down so that expectations stay, until one's probability is 0 or 1. The source's expected total therefore never moves; when one document is left with a fraction it is drawn alone, so a source ends within one document of its target, and every document's expected copies are exactly target / size, whatever its length. There is one set of draws, never a choice among several.
 
-The work forms a tree: leaves are groups of about ``LEAF`` documents of a source, rounded each in one task until one document is left in each; the left ones meet in groups of ``FAN`` at the next level, and so on to the root. No group grows with the input, however large a source. Groups depend on ids alone and draws on a hash, so reruns agree whatever the partitioning.
+The work forms a tree: leaves are groups of about ``LEAF`` documents of a source, rounded each in one task until one document is left in each; the left ones meet in groups of ``FAN`` at the next level, and so on to the root. No group grows with the input, however large a source or however often a row is repeated: equal rows are counted first and dealt out ``CHUNK`` at a time. Groups depend on ids and hashes of texts alone and draws on a hash, so reruns agree whatever the partitioning.
 
-Defined results: null and empty texts have size 0, no copies and nothing taken. A null source is a source, last in order. Repeated rows are rounded one by one. Extra columns are kept by ``mix`` and ignored by ``mix_counts``. An empty table gives an empty result. Copies never exceed ``max_repeats``.
+Defined results: null and empty texts have size 0, no copies and nothing taken. A null source is a source, last in order. Repeated rows are rounded one by one. Extra columns are kept by ``mix`` and ignored by ``mix_counts``. An empty table gives an empty result. Copies never exceed ``max_repeats``. Any number of sources: targets of up to ``FEW_SOURCES`` are worked out on the driver and broadcast, those of more in a table, with the same result.
 """
 
 from __future__ import annotations
@@ -18,15 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SPACE, free_name, materialize
+from .common import SPACE, free_name, materialize, skew_join
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3.0
 #: Documents rounded in one leaf, and leaves' residuals that meet in one group.
 LEAF, FAN = 500, 64
-TRIES = 16
-#: A mixture names its sources; more than this are refused, so that the table of targets can be broadcast.
-MAX_SOURCES = 100_000
+#: Equal rows that go to a leaf together.
+CHUNK = 64
+#: Sources whose targets are worked out on the driver and broadcast.
+FEW_SOURCES = 10_000
 
 
 def word_count(text):
@@ -81,35 +82,38 @@ def duel(p: np.ndarray, w: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, int]:
     return np.array(p, dtype=float), carry
 
 
-_STATE = "doc_id {id}, source string, size long, source_size long, target double, copies long, p double, tie long, leaf long"
+_STATE = "doc_id {id}, source string, size long, source_size long, target double, copies long, p double, tie long, rank long, n long, leaf long, mark long"
 
 
 def _uniform(ids: np.ndarray, level: int, seed: int) -> np.ndarray:
     """A draw from [0, 1) for each hash, by splitmix64."""
     with np.errstate(over="ignore"):
-        x = ids.astype(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (level + 1) + seed) % 2**64)
+        x = ids.astype(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (level + 1) + seed * 0xD1342543DE82EF95) % 2**64)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         x = x ^ (x >> np.uint64(31))
     return (x >> np.uint64(11)).astype(float) / 2.0**53
 
 
-def _round_group(level: int, seed: int, last: bool):
-    """Largest documents first, so that those that meet are of like size and the one left over tends to be small. At the root of a source, where that one is drawn alone, the best of ``TRIES`` sets of draws counts: the one that leaves the source nearest to its target."""
+def round_rows(size: np.ndarray, p: np.ndarray, names: np.ndarray, level: int, seed: int, last: bool) -> np.ndarray:
+    """``p`` of one group, in order, rounded until one fraction is left; at the root (``last``) that one is drawn alone. ``names`` tell the rows' draws apart."""
+    p, left = duel(p, size, _uniform(names, level, seed))
+    if last and left >= 0:
+        p[left] = float(_uniform(names[left : left + 1], level + 1000, seed)[0] < p[left])
+    return p
+
 
-    def attempt(pdf: pd.DataFrame, t: int) -> tuple[np.ndarray, float]:
-        tie, size = pdf["tie"].to_numpy(), pdf["size"].to_numpy(dtype=float)
-        p, left = duel(pdf["p"].to_numpy(dtype=float), size, _uniform(tie + np.arange(len(pdf)), level + 7919 * t, seed))
-        if not last or left < 0:
-            return p, 0.0
-        before = p[left]
-        p[left] = float(_uniform(tie[left : left + 1], level + 1000 + 7919 * t, seed)[0] < before)
-        return p, abs(p[left] - before) * size[left]
+def _round_group(level: int, seed: int, last: bool):
+    """Largest documents first: those that meet are of like size, and a large one that is left meets all smaller ones after it, so the one left over in the end tends to be small."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        by = ["size", "tie", *[c for c in ("mark",) if c in pdf]]
-        pdf = pdf.sort_values(by, ascending=[False, *[True] * (len(by) - 1)], kind="stable", ignore_index=True)
-        p = min((attempt(pdf, t) for t in range(TRIES if last else 1)), key=lambda x: x[1])[0]
+        times = pdf["n"].to_numpy()
+        pdf = pdf.iloc[np.repeat(np.arange(len(pdf)), times)]
+        pdf = pdf.assign(rank=pdf["rank"].to_numpy() + np.arange(len(pdf)) - np.repeat(np.cumsum(times) - times, times), n=1)
+        pdf = pdf.sort_values(["size", "tie", "rank"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        with np.errstate(over="ignore"):
+            names = pdf["tie"].to_numpy().view(np.uint64) + pdf["rank"].to_numpy().astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
+        p = round_rows(pdf["size"].to_numpy(dtype=float), pdf["p"].to_numpy(dtype=float), names, level, seed, last)
         pdf["copies"] = pdf["copies"] + (p == 1.0).astype(np.int64)
         pdf["p"] = np.where((p > 0.0) & (p < 1.0), p, 0.0)
         return pdf
@@ -117,25 +121,60 @@ def _round_group(level: int, seed: int, last: bool):
     return run
 
 
-def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeats: float) -> list[tuple]:
-    """(source, size, documents, target) of each source, by code point, null last. ``weights`` repeat over that order."""
-    if sizes.select("source").distinct().limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    rows = sizes.groupBy("source").agg(F.sum("size").alias("s"), F.count("*").alias("n")).collect()
+def source_targets(counts: DataFrame, weights: Sequence[float], max_repeats: float) -> list[tuple]:
+    """(source, size, documents, target) from (source, s, n) of each source, by code point, null last. ``weights`` repeat over that order."""
+    rows = counts.collect()
     rows.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     goal = targets([r["s"] for r in rows], [weights[i % len(weights)] for i in range(len(rows))], max_repeats)
     return [(r["source"], r["s"], r["n"], t) for r, t in zip(rows, goal, strict=True)]
 
 
+def table_targets(counts: DataFrame, weights: Sequence[float], max_repeats: float) -> DataFrame:
+    """As ``source_targets``, as a table (source, s, n, target): places in order are counts within ranges and of the ranges before; the share of a unit of weight rises, one aggregate a step, until no source is above its limit."""
+    order = [F.col("source").isNull(), F.col("source")]
+    ranged = materialize(counts.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "ranged")
+    before = ranged.groupBy("_p").agg(F.count("*").alias("_k")).withColumn("_before", F.sum("_k").over(W.orderBy("_p")) - F.col("_k"))
+    place = F.row_number().over(W.partitionBy("_p").orderBy(*order)) - 1 + F.col("_before")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(place, F.lit(len(weights))) + 1).cast("int"))
+    known = materialize(ranged.join(F.broadcast(before.drop("_k")), "_p").select("source", "s", "n", weight.alias("_w")), "weighted")
+    total = float(known.agg(F.sum("s")).first()[0] or 0)
+    limit = float(max_repeats) * F.col("s")
+    per = 0.0
+    while True:
+        over = F.col("_w") * F.lit(per) > limit
+        got = known.agg(F.sum(F.when(over, limit).otherwise(0.0)).alias("taken"), F.sum(F.when(over, 0.0).otherwise(F.col("_w"))).alias("w")).first()
+        now = (total - got["taken"]) / got["w"] if got["w"] else per
+        if now <= per:
+            break
+        per = now
+    return known.select("source", "s", "n", F.least(F.col("_w") * F.lit(per), limit).alias("target"))
+
+
+def _with_targets(rows: DataFrame, weights: Sequence[float], max_repeats: float, leaf: int) -> tuple[DataFrame, int]:
+    """``rows`` (source, size, n and more) with source_size, target and _leaves of their source, and the most leaves that a source has."""
+    counts = materialize(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("s"), F.sum("n").alias("n")), "sources")
+    keyed = rows.withColumns({"_null": F.col("source").isNull(), "_source": F.coalesce("source", F.lit(""))})
+    leaves = F.greatest(F.lit(1), F.ceil(F.col("n") / leaf)).cast("long")
+    if counts.count() <= FEW_SOURCES:
+        found = source_targets(counts, weights, max_repeats)
+        spec = rows.sparkSession.createDataFrame(found, "source string, s long, n long, target double")
+    else:
+        spec = materialize(table_targets(counts, weights, max_repeats), "targets")
+    spec = spec.select(F.col("source").isNull().alias("_null"), F.coalesce("source", F.lit("")).alias("_source"), F.col("s").alias("source_size"), "target", leaves.alias("_leaves"), F.col("n").alias("_w"))
+    most = counts.agg(F.max("n")).first()[0] or 0
+    joined = keyed.join(F.broadcast(spec.drop("_w")), ["_null", "_source"]) if counts.count() <= FEW_SOURCES else skew_join(keyed, spec, ["_null", "_source"], "_w", "inner")
+    return joined, max(1, math.ceil(most / leaf))
+
+
 def mix_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, max_repeats: float = MAX_REPEATS, seed: int = 42, leaf: int = LEAF, fan: int = FAN, marks: bool = False) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target (of its source), copies and taken (copies * size). With ``marks`` also mark, a hash of the text by which rows with the same id and size are then put in order."""
-    spark = docs.sparkSession
-    extra = ["mark"] if marks else []
-    sizes = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), *[F.xxhash64(text_col).alias(c) for c in extra]), "sizes")
-    found = source_targets(sizes, weights, max_repeats)
-    id_type = sizes.schema["doc_id"].dataType.simpleString()
-    spec = spark.createDataFrame([(s is None, s or "", z, t, max(1, math.ceil(n / leaf))) for s, z, n, t in found] or [(False, "", 0, 0.0, 1)], "_null boolean, _source string, source_size long, target double, _leaves long")
-    keyed = sizes.withColumns({"_null": F.col("source").isNull(), "_source": F.coalesce("source", F.lit(""))}).join(F.broadcast(spec), ["_null", "_source"])
+    """Per document: doc_id, source, size, source_size, target (of its source), copies and taken (copies * size). With ``marks`` also mark, a hash of the text."""
+    sizes = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("mark")), "sizes")
+    rows = materialize(sizes.groupBy("doc_id", "source", "size", "mark").agg(F.count("*").alias("n")), "rows")
+    keyed, most = _with_targets(rows, weights, max_repeats, leaf)
+    many = CHUNK * 4096
+    keyed = keyed.withColumn("_far", F.explode(F.expr(f"sequence(0L, (n - 1) div {many}L)")))
+    keyed = keyed.withColumn("_near", F.explode(F.expr(f"sequence(0L, (least({many}L, n - _far * {many}L) - 1) div {CHUNK}L)")))
+    first = F.col("_far") * many + F.col("_near") * CHUNK
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rate = F.least(rate, F.lit(float(max_repeats)))
     near = F.when(F.abs(rate - F.round(rate)) < 1e-12, F.round(rate)).otherwise(rate)
@@ -147,12 +186,14 @@ def mix_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         "target",
         F.when(F.col("size") > 0, F.floor(near)).otherwise(0).cast("long").alias("copies"),
         F.when(F.col("size") > 0, near - F.floor(near)).otherwise(0.0).alias("p"),
-        F.xxhash64("doc_id", "size").alias("tie"),
-        F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("_leaves")).alias("leaf"),
-        *extra,
+        F.xxhash64("doc_id", "size", "mark").alias("tie"),
+        first.alias("rank"),
+        F.least(F.lit(CHUNK), F.col("n") - first).cast("long").alias("n"),
+        F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size", "mark", first), F.col("_leaves")).alias("leaf"),
+        "mark",
     )
-    schema = _STATE.format(id=id_type) + "".join(f", {c} long" for c in extra)
-    levels, most = 0, max((math.ceil(n / leaf) for _, _, n, _ in found), default=1)
+    schema = _STATE.format(id=sizes.schema["doc_id"].dataType.simpleString())
+    levels = 0
     while most > 1:
         levels, most = levels + 1, math.ceil(most / fan)
     done = None
@@ -161,19 +202,19 @@ def mix_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         settled = state.filter(F.col("p") == 0.0)
         done = settled if done is None else done.unionByName(settled)
         state = state.filter(F.col("p") > 0.0).withColumn("leaf", F.floor(F.col("leaf") / fan))
-    return done.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *extra)
+    return done.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *(["mark"] if marks else []))
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", copies_as: str = "copies", **options) -> DataFrame:
     """The mixture: each document that is taken, with its columns and its number of copies. Rows with the same id, source and text share out their copies by rank, so repeated rows keep their own."""
     counts = mix_counts(docs, id_col=id_col, text_col=text_col, source_col=source_col, marks=True, **options)
-    keys = ["_id", "_s", "_n", "_m"]
-    taken = counts.groupBy(*[F.col(c).alias(k) for c, k in zip(("doc_id", "source", "size", "mark"), keys, strict=True)]).agg(F.sum("copies").alias("_c"), F.count("*").alias("_rows")).filter("_c > 0")
+    keys = ["_id", "_s", "_m"]
+    taken = materialize(counts.groupBy(*[F.col(c).alias(k) for c, k in zip(("doc_id", "source", "mark"), keys, strict=True)]).agg(F.sum("copies").alias("_c"), F.count("*").alias("_rows")).filter("_c > 0"), "taken")
     name = free_name(docs.columns, copies_as)
     names = [free_name(keys, f"_c{i}") for i in range(len(docs.columns))]
-    own = docs.withColumns({"_id": F.col(id_col), "_s": F.col(source_col).cast("string"), "_n": word_count(F.col(text_col)), "_m": F.xxhash64(text_col)})
-    joined = own.join(taken, own["_id"].eqNullSafe(taken["_id"]) & own["_s"].eqNullSafe(taken["_s"]) & (own["_n"] == taken["_n"]) & (own["_m"] == taken["_m"]))
-    joined = joined.select(*[own[c].alias(n) for c, n in zip(docs.columns, names, strict=True)], *[taken[k].alias(k) for k in [*keys, "_c", "_rows"]])
+    own = docs.toDF(*names)
+    at = {c: own[names[docs.columns.index(c)]] for c in (id_col, text_col, source_col)}
+    joined = own.join(taken, at[id_col].eqNullSafe(taken["_id"]) & at[source_col].cast("string").eqNullSafe(taken["_s"]) & (F.xxhash64(at[text_col]) == taken["_m"]))
     # A source's draws are a number or one more, so the sum over repeated rows says how many of them have one more.
     copies, more = F.expr("_c div _rows"), F.col("_c") % F.col("_rows")
     if taken.filter(more > 0).isEmpty():

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
@@ -121,10 +122,93 @@ def test_mix_rows_with_one_id(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def tree(size, p, leaf_of, fan, seed):
+    """Rounds rows as the operator does, group by group and level by level, largest first."""
+    size, p, levels = np.array(size, dtype=float), np.array(p), 0
+    while fan**levels <= max(leaf_of):
+        levels += 1
+    for level in range(levels + 1):
+        for leaf in set(leaf_of.tolist()):
+            mine = np.flatnonzero((leaf_of == leaf) & (p > 0) & (p < 1))
+            mine = mine[np.lexsort((mine, -size[mine]))]
+            p[mine] = mix.round_rows(size[mine], p[mine], (mine * 7919).astype(np.uint64), level, seed, level == levels)
+        leaf_of = leaf_of // fan
+    return p
+
+
+@pytest.mark.parametrize("leaves", [1, 6])
+def test_every_document_keeps_its_probability(leaves):
+    """One large document among small ones: over many seeds each is taken as often as its probability says, and the source's total stays within one document."""
+    size, seeds = [100] + [7] * 19 + [3, 11, 40], 2000
+    p = np.full(len(size), 0.3)
+    leaf_of = np.arange(len(size)) % leaves
+    got = np.array([tree(size, p, leaf_of, 3, seed) for seed in range(seeds)])
+    assert set(np.unique(got)) <= {0.0, 1.0}
+    assert np.abs(got.mean(axis=0) - p).max() <= 4 * math.sqrt(0.3 * 0.7 / seeds)
+    totals = got @ np.array(size, dtype=float)
+    assert np.abs(totals - 0.3 * sum(size)).max() <= 100
+
+
+def test_mix_of_a_row_repeated_often(spark):
+    """Equal rows are dealt over many leaves and each keeps its own draw."""
+    rows = [(None, "a b c", "en", "s", 0)] * 3000 + [(i, "d e f g", "en", "t", 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = mix.mix_counts(docs, leaf=100, fan=4, weights=(2, 5)).collect()
+    goal = mix.targets([9000, 2400], [2, 5])
+    for source, n, t in (("s", 3000, goal[0]), ("t", 600, goal[1])):
+        mine = [r for r in got if r["source"] == source]
+        assert len(mine) == n and abs(sum(r["taken"] for r in mine) - t) <= 4
+    taken = mix.mix(docs, leaf=100, fan=4, weights=(2, 5)).groupBy("source").agg(F.sum("copies")).collect()
+    assert {r[0]: r[1] for r in taken} == {s: sum(r["copies"] for r in got if r["source"] == s) for s in "st"}
+    assert sorted(map(str, got)) == sorted(map(str, mix.mix_counts(docs.repartition(5), leaf=100, fan=4, weights=(2, 5)).collect()))
+
+
+def test_targets_of_many_sources(spark, monkeypatch):
+    """Beyond FEW_SOURCES targets come from tables; both ways agree."""
+    rng = random.Random(5)
+    texts = ["w " * rng.choice([1, 2, 30, 200]) for _ in range(400)]
+    docs = docs_of(spark, texts, [rng.choice([*[f"s{i}" for i in range(40)], "é", None]) for _ in texts])
+    few = mix.mix_counts(docs).collect()
+    monkeypatch.setattr(mix, "FEW_SOURCES", 3)
+    many = mix.mix_counts(docs).collect()
+    key = lambda rows: sorted((r["doc_id"], str(r["source"]), r["source_size"], round(r["target"], 6)) for r in rows)
+    assert key(few) == key(many)
+    monkeypatch.setattr(mix, "FEW_SOURCES", -1)
+    assert mix.mix_counts(docs.filter("false")).count() == 0
+    assert {r["taken"] for r in mix.mix_counts(docs_of(spark, ["", None])).collect()} == {0}
+
+
+def test_mix_query(spark, small):
+    """Sizes, targets and limits by a plain computation; each source within one document of its target; reruns agree."""
+    docs = [(r["doc_id"], len(words(r["text"])), r["source"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    names = sorted({s for _, _, s in docs if s is not None}) + ([None] if any(s is None for _, _, s in docs) else [])
+    total = {n: sum(z for _, z, s in docs if s == n) for n in names}
+    weight = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}
+    goal, full = {}, set()
+    while True:
+        per = (sum(total.values()) - sum(3 * total[n] for n in full)) / sum(weight[n] for n in names if n not in full)
+        goal = {n: 3 * total[n] if n in full else per * weight[n] for n in names}
+        if not (more := {n for n in names if goal[n] > 3 * total[n]}):
+            break
+        full |= more
+    rows = queries.op1_mix_sources(spark, small).collect()
+    assert sorted((r["doc_id"], r["size"], r["source_size"]) for r in rows) == sorted((i, z, total[s]) for i, z, s in docs)
+    source = {i: s for i, _, s in docs}
+    for n in names:
+        mine = [r for r in rows if source[r["doc_id"]] == n]
+        assert all(math.isclose(r["target"], goal[n], rel_tol=1e-9) for r in mine)
+        assert abs(sum(r["taken"] for r in mine) - goal[n]) <= max(r["size"] for r in mine)
+        rate = goal[n] / total[n]
+        assert all(r["taken"] in {math.floor(rate) * r["size"], math.ceil(rate) * r["size"]} for r in mine)
+    assert sorted(map(str, rows)) == sorted(map(str, queries.op1_mix_sources(spark, small).collect()))
+
+
 def test_mix_odd(odd, none):
     assert mix.mix_counts(odd).count() == len(ODD)
     assert mix.mix_counts(none).count() == 0 == mix.mix(none).count()
     assert mix.mix(odd).columns == [*odd.columns, "_copies"]
+    clash = odd.withColumns({c: F.lit(1) for c in ("_id", "_s", "_m", "_c", "_rows", "_p", "n", "rank", "tie")})
+    assert mix.mix(clash).columns == [*clash.columns, "_copies"] and mix.mix(clash).count() == mix.mix(odd).count()
 
 
 # 2. Decontamination
