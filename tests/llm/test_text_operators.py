@@ -258,14 +258,63 @@ def test_contamination_odd(spark, odd, none):
     assert decontaminate.find_contamination(odd, bench.filter("false")).filter("n_hit > 0").count() == 0
 
 
-def test_word_hashes_in_pieces(monkeypatch):
-    data = ("word " * 50 + "x" * 700 + " é" * 40).encode()
-    whole = decontaminate.WordHasher().words(data)
-    monkeypatch.setattr(decontaminate, "_PIECE", 64)
-    parts = decontaminate.WordHasher().words(data)
-    assert all((a == b).all() for a, b in zip(whole[1:], parts[1:], strict=True))
-    same = [i for i in range(len(whole[0])) if whole[2][i] - whole[1][i] <= 64]
-    assert (whole[0][same] == parts[0][same]).all()
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["w", "é", "x1"]), st.sampled_from([1, 3, 15, 16, 17, 63, 64, 65, 130, 200])), min_size=1, max_size=12), st.integers(0, 300), st.sampled_from([" ", ". ", "\n"]))
+def test_a_word_has_one_hash(parts, shift, gap):
+    """Whatever stands before it and however the text is cut into pieces."""
+    old = decontaminate._PIECE, decontaminate._LONG
+    decontaminate._PIECE, decontaminate._LONG = 64, 16
+    try:
+        hasher = decontaminate.WordHasher()
+        each = [(a * k).encode()[:k] if a != "é" else (a * k).encode() for a, k in parts]
+        alone = [int(hasher.words(x)[0][0]) for x in each]
+        data = b"p " * (shift // 2) + gap.encode().join(each)
+        h, start, end = hasher.words(data)
+        assert [data[s:e] for s, e in zip(start, end, strict=True)] == data.replace(b".", b" ").split()
+        assert h[shift // 2 :].tolist() == alone
+    finally:
+        decontaminate._PIECE, decontaminate._LONG = old
+
+
+@pytest.mark.parametrize("size", [(1 << 18) - 1, 1 << 18, (1 << 18) + 1, (1 << 19) + 5])
+def test_words_of_any_length_are_hit(size):
+    """A word around the size of a piece and of two, alone and after any text."""
+    item = " ".join(["x" * size, *[f"w{i}" for i in range(9)]])
+    grams = decontaminate.NgramSet.build([(1, item)], 10)
+    shared = type("Shared", (), {"value": (grams.n, grams.bitmap, grams.items)})
+    scan = decontaminate._scanner(shared, False, False)()
+    got = scan([item, "a b " * 62_500 + item, "q " * 5 + item + " z", "x" * (size + 1) + item[size:], "é" * 70_000 + " " + item])
+    assert got["n_hit"] == [10, 10, 10, 0, 10]
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_blocks(spark, monkeypatch, few):
+    """Long and repeated items, several blocks: the same as in one, by broadcast or not; texts are written in neither."""
+    monkeypatch.setattr(decontaminate, "FEW_HITS", few)
+    rng = random.Random(14)
+    line = lambda n: " ".join(f"v{rng.randrange(300)}" for _ in range(n))
+    long = line(400)
+    items = [(1, long), (2, long), *[(3, "x y z")] * 50, *[(i, line(rng.randint(2, 30))) for i in range(4, 30)]]
+    cut = lambda t: " ".join(t.split()[rng.randrange(5) :][:25])
+    texts = [rng.choice([line(20), "", " "]) + " " + cut(rng.choice(items)[1]) + " X-Y,z " + cut(rng.choice(items)[1]) for _ in range(60)] + [None, "", long + " " + long]
+    texts += texts[:20]
+    docs = docs_of(spark, texts).withColumn("n_hit", F.lit("own")).withColumn("th", F.lit("own"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    wrote, keep = [], materialize
+
+    def spy(df, name="step"):
+        wrote.append((name, df.columns))
+        return keep(df, name)
+
+    monkeypatch.setattr(decontaminate, "materialize", spy)
+    got = decontaminate.find_contamination(docs, bench, block_bytes=2000)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "th", "n_words", "n_hit", "hit_items", "hit_spans"]
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["hit_items"]) for r in got.collect()} == {i: brute_hits(t, items, 10) for i, t in enumerate(texts)}
+    assert len(wrote) > 3 and not any({"t", "text"} & set(c) for n, c in wrote if n != "items")
+    one = decontaminate.find_contamination(docs, bench)
+    assert {r["doc_id"]: r["hit_spans"] for r in one.collect()} == {r["doc_id"]: r["hit_spans"] for r in got.collect()}
+    spans = [decontaminate.decontaminate(docs, bench, mode="span", **k).select("doc_id", "text").collect() for k in ({}, {"block_bytes": 2000})]
+    assert sorted(spans[0]) == sorted(spans[1])
 
 
 # 3. WARC
