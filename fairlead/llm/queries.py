@@ -82,7 +82,7 @@ def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each rendered perspective; the operator returns the texts themselves."""
     shown = chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
     spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
-    return shown.select("conv_id", "speaker", "part", "slot", "n_turns", "n_own", F.length("rendered").cast("long").alias("n_chars"), F.sha2("rendered", 256).alias("rendered_sha256"), F.array_join(spans, ",").alias("mask"))
+    return shown.select("conv_id", "speaker", "part", "begin", "n_turns", "n_own", F.length("rendered").cast("long").alias("n_chars"), F.sha2("rendered", 256).alias("rendered_sha256"), F.array_join(spans, ",").alias("mask"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,6 +177,7 @@ _STRENGTH = """SELECT CASE WHEN n IS NULL THEN 1e3 WHEN m * (1 - m) <= 0 OR n -
   FROM (SELECT up, CAST(n AS DOUBLE) AS n, CAST(bad AS DOUBLE) AS bad, CAST(sum(n) OVER (PARTITION BY up) AS DOUBLE) AS pn, CAST(sum(bad) OVER (PARTITION BY up) AS DOUBLE) AS pb
     FROM (SELECT {up} AS up, n, bad FROM {level} WHERE n > 0)))"""
 
+# The chance that a host's bad share is at most 0.5, by the power series of the incomplete beta function, all of whose terms are positive.
 ORACLE["op10_url_filter"] = rf"""
 WITH u AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), {_UP}) AS host,
@@ -184,9 +185,12 @@ WITH u AS (
   FROM pages
 ), marks AS (
   SELECT doc_id AS page_id, max(CAST(quality = 0 OR toxic = 1 AS INT)) AS bad FROM labels WHERE doc_id IS NOT NULL AND (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY 1
+), named AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':\d*$', '') AS name FROM u
+), counted AS (SELECT name, string_split(name, '.') AS l, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM named LEFT JOIN marks USING (page_id) GROUP BY name
+), ends AS (
+  SELECT *, regexp_matches(name, '{url_filter._ADDRESS}') AS address, CASE WHEN list_contains([{", ".join(f"'{x}'" for x in url_filter.SUFFIXES)}], array_to_string(l[-2:], '.')) AND len(l) > 1 THEN 2 ELSE 1 END AS k FROM counted
 ), hosts AS (
-  SELECT host, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain, count(bad) AS n, coalesce(sum(bad), 0) AS bad
-  FROM u LEFT JOIN marks USING (page_id) GROUP BY host
+  SELECT name, n, bad, CASE WHEN address THEN '{url_filter.ADDRESS}' ELSE array_to_string(l[-k:], '.') END AS suffix, CASE WHEN address THEN name ELSE array_to_string(l[-k - 1:], '.') END AS domain FROM ends
 ), domains AS (SELECT domain, any_value(suffix) AS suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain
 ), suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix
 ), base AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS m FROM suffixes
@@ -195,15 +199,18 @@ WITH u AS (
 ), kh AS ({_STRENGTH.format(up="domain", level="hosts")}
 ), sm AS (SELECT suffix, (ks.k * base.m + bad) / (ks.k + n) AS m FROM suffixes, ks, base
 ), dm AS (SELECT domain, (kd.k * sm.m + bad) / (kd.k + n) AS m FROM domains JOIN sm USING (suffix), kd
-), hm AS (SELECT host, (kh.k * dm.m + bad) / (kh.k + n) AS m, kh.k + n AS ab FROM hosts JOIN dm USING (domain), kh
-), bad AS (SELECT host FROM hm WHERE m - 1.645e0 * sqrt(m * (1 - m) / (ab + 1)) > 0.5
+), hm AS (SELECT name, kh.k * dm.m + bad AS a, kh.k * (1 - dm.m) + n - bad AS b FROM hosts JOIN dm USING (domain), kh
+), terms AS (
+  SELECT name, a, b, exp(lgamma(a + b + i) - lgamma(a + 1 + i) - lgamma(b) + (a + b + i) * ln(0.5e0)) AS term
+  FROM (SELECT *, unnest(generate_series(0, CAST(ceil(b) AS BIGINT) + 200)) AS i FROM hm)
+), bad AS (SELECT name FROM terms GROUP BY name HAVING sum(term) < 0.05
 ), rules(action, rhost, rpath) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')
 ), best AS (
-  SELECT page_id, arg_max(action, length(rhost || rpath)) AS action, arg_max(rhost || rpath, length(rhost || rpath)) AS rule
-  FROM u JOIN rules ON (host = rhost OR host LIKE '%.' || rhost) AND starts_with(path, rpath) GROUP BY page_id
+  SELECT page_id, host, path, arg_max(action, length(rhost || rpath)) AS action, arg_max(rhost || rpath, length(rhost || rpath)) AS rule
+  FROM (SELECT DISTINCT page_id, host, path FROM u) JOIN rules ON (host = rhost OR host LIKE '%.' || rhost) AND starts_with(path, rpath) GROUP BY page_id, host, path
 )
-SELECT page_id, host, path, rule, coalesce(action, CASE WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
-FROM u LEFT JOIN best USING (page_id) LEFT JOIN bad USING (host)
+SELECT n.page_id, n.host, n.path, best.rule, coalesce(action, CASE WHEN bad.name IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM named n LEFT JOIN best ON n.page_id IS NOT DISTINCT FROM best.page_id AND n.host = best.host AND n.path = best.path LEFT JOIN bad ON n.name = bad.name
 """
 
 ORACLE["op3_warc_chunks"] = """
@@ -215,21 +222,25 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
 FROM m
 """
 
-ORACLE["op7_chat_rotation"] = """
+ORACLE["op7_chat_rotation"] = f"""
 WITH t AS (
-  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS text, CAST(coalesce(floor(turn / 128), -1) AS BIGINT) AS part
-  FROM conversations
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS text FROM conversations
+), r AS (
+  SELECT *, row_number() OVER w AS i, sum(length(text)) OVER w - length(text) AS before
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, who, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), q AS (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY conv_id ORDER BY (i - 1) // {chat.PART_TURNS}, before // {chat.PART_CHARS}) - 1 AS BIGINT) AS part FROM r
 ), p AS (SELECT DISTINCT conv_id, who AS speaker FROM t WHERE who <> 'system'
 ), h AS (
-  SELECT t.conv_id, speaker, part, turn, who, text, who = speaker AS own,
+  SELECT q.conv_id, speaker, part, i, who = speaker AS own,
     '<|im_start|>' || CASE WHEN who = speaker THEN 'assistant' WHEN who = 'system' THEN 'system' ELSE 'user name=' || replace(who, '<|im_', '< |im_') END || chr(10) AS head,
     replace(text, '<|im_', '< |im_') || '<|im_end|>' || chr(10) AS body
-  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+  FROM q JOIN p ON q.conv_id IS NOT DISTINCT FROM p.conv_id
 ), o AS (
-  SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, who, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS s
+  SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS s
   FROM h
 )
-SELECT conv_id, speaker, part, CAST(0 AS BIGINT) AS slot, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
+SELECT conv_id, speaker, part, CAST(min(s - length(head)) AS BIGINT) AS begin, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
   CAST(sum(length(head) + length(body)) AS BIGINT) AS n_chars,
   sha256(string_agg(head || body, '' ORDER BY s)) AS rendered_sha256,
   coalesce(string_agg(CAST(CAST(s AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(s + length(body) AS BIGINT) AS VARCHAR), ',' ORDER BY s) FILTER (WHERE own), '') AS mask

@@ -556,6 +556,36 @@ def test_host_rates(spark):
     assert quality.keep_good(docs_of(spark, texts, sources)).count() == 58
 
 
+def test_quality_against_sql_with_rejected_hosts(spark, tmp_path):
+    """A table on which hosts, the null one among them, do fall; shrinkage spares one with a single document."""
+    import duckdb
+    from conftest import rows_of
+
+    rng = random.Random(16)
+    shares = {"junk": 0.97, "worse": 0.9, None: 0.95, "fair": 0.3, "clean": 0.0, "half": 0.6}
+    rows = []
+    for i in range(900):
+        host = rng.choice(list(shares))
+        bad = rng.random() < shares[host]
+        rows.append((i, rng.choice(["short text", "a b c d e f " * 9, ""]) if bad else " ".join(rng.sample([f"w{k}" for k in range(99)], 25)), "en", host, 0))
+    rows += [(2000, None, None, None, None), *rows[:40]]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(queries.ORACLE["op5_quality_rules"])
+    names, expected = [d[0] for d in want.description], want.fetchall()
+    got = queries.op5_quality_rules(spark, str(tmp_path))
+    assert rows_of(got.columns, got.collect()) == rows_of(names, expected)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    judged = quality.judge_quality(docs, keep=["source"])
+    fallen = {r["source"] for r in judged.filter("NOT base_failed AND NOT kept").collect()}
+    assert fallen == {"junk", "worse", None}
+    counts = spark.createDataFrame([*[(f"h{i}", 100, 60 + i) for i in range(10)], ("tiny", 1, 1)], "host string, n long, failed long")
+    assert quality.host_verdicts(counts).filter("rejected").count() == 0
+    left = quality.keep_good(docs)
+    assert sorted(str(r["source"]) for r in left.collect()) == sorted(str(r["source"]) for r in judged.filter("kept").collect())
+
+
 def test_quality_odd(odd, none):
     judged = quality.judge_quality(odd, max_host_rate=1.0)
     assert judged.count() == len(ODD) and judged.filter("kept").count() == 2
@@ -620,10 +650,24 @@ def test_language_odd(spark, odd, none):
     assert set(weights.langs) == {"de", "en", "fr"}
     got = language.identify(odd, weights)
     assert got.count() == len(ODD) and got.filter("lang_pred = 'und' and score = 0").count() == 3
+    assert language.train(odd, steps=5).arrays()[0].tolist() == language.train(odd.repartition(3), steps=5, most_pieces=1000).arrays()[0].tolist()
     assert language.train(none) is None and language.identify(odd, None).filter("lang_pred = 'und'").count() == len(ODD)
     assert language.identify(none, weights).count() == 0
 
 
+def test_very_many_languages(spark, monkeypatch):
+    """Labels beyond FEW_LANGUAGES are joined, and segments labelled fewer at a time: nothing is refused."""
+    rows = [(i, f"text {i} of language l{i % 40}", f"l{i % 40}", "s", 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    few = language.train(docs, steps=3, per_language=5)
+    monkeypatch.setattr(language, "FEW_LANGUAGES", 3)
+    many = language.train(docs, steps=3, per_language=5)
+    assert len(many.langs) == 40 and all((a == b).all() for a, b in zip(few.arrays(), many.arrays(), strict=True))
+    whole = language.Tagger(many).documents([b"some text " * 300])
+    monkeypatch.setattr(language, "CELLS", 1)
+    assert language.Tagger(many).lanes == 16 and np.allclose(language.Tagger(many).documents([b"some text " * 300]), whole)
+
+
 # 7. Chat
 
 
@@ -644,42 +688,68 @@ def brute_rotation(rows):
     return out
 
 
+CHAT = "conv_id long, turn long, role string, text string"
+
+
+def dialogues(got):
+    """Texts and masks of each dialogue, its parts joined in order; each must begin where the one before ends."""
+    out, sizes = {}, {}
+    for r in sorted(got, key=lambda r: r["part"]):
+        text, mask = out.get((r["conv_id"], r["speaker"]), ("", []))
+        assert r["begin"] == len(text)
+        out[r["conv_id"], r["speaker"]] = text + r["rendered"], mask + [tuple(m) for m in r["mask"]]
+        sizes.setdefault((r["conv_id"], r["speaker"]), []).append(r["n_turns"])
+    return out, sizes
+
+
 def test_perspectives(spark):
     rng = random.Random(9)
-    rows = [(c, t, rng.choice(["ann", "bob", "☃", "system", None, "<|im_x"]), rng.choice(["hi", "", None, "é\n<|im_start|>x", "long " * 5]), "own") for c in (1, 2, None) for t in range(12)]
-    rows += [(3, 0, "system", "alone", "own"), (4, None, "ann", "x", "own"), (1, 3, "ann", "hi", "own")]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, speaker string")
+    rows = [(c, t, rng.choice(["ann", "bob", "☃", "system", None, "<|im_x"]), rng.choice(["hi", "", None, "é\n<|im_start|>x", "long " * 5])) for c in (1, 2, None) for t in range(12)]
+    rows += [(3, 0, "system", "alone"), (4, None, "ann", "x"), (1, 3, "ann", "hi")]
+    df = spark.createDataFrame(rows, CHAT).withColumns({c: F.lit("own") for c in ("speaker", "part", "begin", "mask", "n_turns", "rendered", "key", "who", "said", "turns", "at", "a", "n")})
     got = chat.rotate_perspectives(df).collect()
     assert {(r["conv_id"], r["speaker"]): (r["rendered"], [tuple(m) for m in r["mask"]]) for r in got} == brute_rotation(rows)
     assert chat.rotate_perspectives(df.filter("false")).count() == 0
 
 
-def test_long_conversations_come_in_parts(spark, monkeypatch):
-    rows = [(1, t, "ab"[t % 2], f"t{t}") for t in range(300)]
-    got = sorted(chat.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect(), key=lambda r: r["part"])
-    assert [r["n_turns"] for r in got if r["speaker"] == "a"] == [128, 128, 44]
-    whole = brute_rotation(rows)[1, "a"][0]
-    assert "".join(r["rendered"] for r in got if r["speaker"] == "a") == whole
-    monkeypatch.setattr(chat, "MOST", 10)
-    same = [(1, 5, "a", f"x{i}") for i in range(100)]
-    many = chat.rotate_perspectives(spark.createDataFrame(same, "conv_id long, turn long, role string, text string")).collect()
-    assert len(many) > 3 and sum(r["n_turns"] for r in many) == 100
+def test_whole_dialogues(spark):
+    """300 turns, and 4,000 equal ones beside others, are a row each for every participant; so is a conversation of one very long text."""
+    rows = [(1, t, "ab"[t % 2], f"t{t}") for t in range(300)] + [(2, 5, "a", "same")] * 4000 + [(2, 7, "b", "other"), (2, None, "system", "first")] + [(3, 0, "a", LONG), (3, 1, "b", "short")]
+    got = chat.rotate_perspectives(spark.createDataFrame(rows, CHAT)).collect()
+    assert {(r["conv_id"], r["speaker"]): (r["rendered"], [tuple(m) for m in r["mask"]]) for r in got} == brute_rotation(rows) and {r["part"] for r in got} == {0}
 
 
-def test_large_parts_are_cut_in_order(spark):
-    """More than MOST rows in a part: repeated turn numbers and rows, null turns, a null conversation; joined by part and slot it is the dialogue."""
+def test_parts_join_to_the_dialogue(spark):
+    """More turns or characters than a part holds: repeated turn numbers and rows, null turns, a null conversation."""
     rng = random.Random(12)
-    rows = [(1, rng.randrange(6), rng.choice(["ann", "bob", "system", None]), f"x{rng.randrange(400)}") for _ in range(900)] + [(1, 3, "bob", "same")] * 1300
+    rows = [(1, rng.randrange(6), rng.choice(["ann", "bob", "system", None, "<|im_x"]), f"x{rng.randrange(400)}") for _ in range(900)] + [(1, 3, "bob", "same")] * 5000
     rows += [(None, None, rng.choice("ab"), f"y{i}") for i in range(700)] + [(2, t % 128, "ab"[t % 2], f"z{t}") for t in range(512)] + [(3, t % 128, "ab"[t % 2], f"z{t}") for t in range(513)]
+    rows += [(4, t, "abc"[t % 3], rng.choice(["", "w" * 50, "v" * 700])) for t in range(60)]
     rng.shuffle(rows)
-    got = chat.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
-    joined, sizes = {}, {}
-    for r in sorted(got, key=lambda r: (r["part"], r["slot"])):
-        text, mask = joined.get((r["conv_id"], r["speaker"]), ("", []))
-        joined[r["conv_id"], r["speaker"]] = text + r["rendered"], mask + [(len(text) + m["start"], len(text) + m["end"]) for m in r["mask"]]
-        sizes.setdefault((r["conv_id"], r["speaker"]), []).append(r["n_turns"])
+    df = spark.createDataFrame(rows, CHAT)
+    joined, sizes = dialogues(chat.rotate_perspectives(df, part_turns=512).collect())
     assert joined == brute_rotation(rows)
-    assert sizes[1, "ann"] == [512, 512, 512, 512, 152] and sizes[None, "a"] == [512, 188] and sizes[2, "a"] == [512] and sizes[3, "a"] == [512, 1]
+    assert sizes[1, "ann"] == [512] * 11 + [268] and sizes[None, "a"] == [512, 188] and sizes[2, "a"] == [512] and sizes[3, "a"] == [512, 1]
+    joined, sizes = dialogues(chat.rotate_perspectives(df, part_turns=512, part_chars=1000).collect())
+    assert joined == brute_rotation(rows) and len(sizes[4, "c"]) > 5
+
+
+def test_parts_by_sql(spark, monkeypatch):
+    """The registered SQL, with small parts, on a table whose conversations need them."""
+    import duckdb
+    from conftest import rows_of
+
+    rng = random.Random(13)
+    rows = [(rng.choice([1, 2, None]), rng.choice([None, *range(40)]), rng.choice(["ann", "bob", "system", None]), rng.choice(["", "é" * 30, "x", "same"])) for _ in range(500)]
+    df = spark.createDataFrame(rows, CHAT)
+    shown = chat.rotate_perspectives(df, part_turns=20, part_chars=200)
+    monkeypatch.setattr(chat, "rotate_perspectives", lambda _: shown)
+    monkeypatch.setattr(queries, "table", lambda *_: df)
+    got = queries.op7_chat_rotation(spark, "")
+    con = duckdb.connect()
+    con.register("conversations", pa.Table.from_pylist([dict(zip(df.columns, r, strict=True)) for r in rows], schema=pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])))
+    want = con.execute(queries.ORACLE["op7_chat_rotation"].replace(f"// {chat.PART_TURNS}", "// 20").replace(f"// {chat.PART_CHARS}", "// 200"))
+    assert rows_of(got.columns, got.collect()) == rows_of([d[0] for d in want.description], want.fetchall())
 
 
 # 8. Tokens
@@ -716,6 +786,18 @@ def test_token_query(spark, small, library):
         assert (got[i]["n_tokens"], got[i]["n_bytes"], got[i]["over_limit"]) == (n, len(t.encode()), n > 2048)
 
 
+def test_odd_vocabularies_are_refused(tmp_path):
+    import json
+
+    spec = json.load(open(queries.vocabulary_path(), encoding="utf-8"))
+    for change in (lambda x: x["added_tokens"][0].update(content="[PAD]"), lambda x: x["normalizer"]["normalizers"][1].update(content="_"), lambda x: x["normalizer"]["normalizers"].pop()):
+        other = json.loads(json.dumps({k: v for k, v in spec.items() if k != "model"})) | {"model": spec["model"] | {"merges": [], "vocab": {}}}
+        change(other)
+        (tmp_path / "v.json").write_text(json.dumps(other))
+        with pytest.raises(ValueError):
+            tokens.WordBpe(str(tmp_path / "v.json"))
+
+
 def test_tokens_odd(odd, none):
     got = tokens.count_tokens(odd, queries.vocabulary_path())
     assert got.count() == len(ODD) and got.filter("n_tokens = 0").count() == 3
@@ -776,13 +858,97 @@ def test_rules(spark):
     host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
     got = {r["url"]: r["rule"] for r in df.select("url", url_filter.matching_rule(host, path, queries.RULES)["text"].alias("rule")).collect()}
     assert got == urls
-    with pytest.raises(ValueError):
-        url_filter.matching_rule(host, path, [queries.RULES[0]] * (url_filter.MAX_RULES + 1))
+    ties = [url_filter.Rule("block", "a.com", "/x"), url_filter.Rule("allow", "com", "/x/yz")]
+    assert df.limit(1).select(url_filter.matching_rule(F.lit("a.com"), F.lit("/x/yz"), ties)["text"].alias("t")).first()["t"] == "com/x/yz"
+    assert df.limit(1).select(url_filter.matching_rule(F.lit("a.com:80"), F.lit("/x"), ties)["text"].alias("t")).first()["t"] is None
+
+
+def test_rules_in_blocks(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f"http://h{i % 7}.com/{'en' if i % 2 else 'de'}/{i}") for i in range(40)], "page_id long, url string")
+    rules = [url_filter.Rule("block" if i % 3 else "allow", f"h{i % 7}.com", path) for i, path in enumerate(["/", "/en/", "/de/", "/en/1", "/d"] * 3)] + queries.RULES
+    marks = spark.createDataFrame([], "page_id long, bad boolean")
+    once = sorted(map(str, url_filter.judge_urls(pages, marks, rules).collect()))
+    monkeypatch.setattr(url_filter, "RULES_AT_ONCE", 4)
+    assert sorted(map(str, url_filter.judge_urls(pages, marks, rules).collect())) == once
+
+
+def test_beta_bounds():
+    rng = np.random.default_rng(3)
+    for a, b in ((0.5, 0.5), (2, 3), (30, 70), (1000, 5), (0.6, 3), (40_000, 60_000)):
+        draws = rng.beta(a, b, 100_000)
+        low = url_filter.beta_quantile(np.array([a]), np.array([b]), 0.05)
+        assert abs((draws <= low[0]).mean() - 0.05) < 0.004
+        assert abs(url_filter.beta_below(a, b, 0.5) - (draws <= 0.5).mean()) < 0.007
+    grid = np.linspace(0.01, 0.99, 25)
+    assert np.allclose(url_filter.beta_below(1, 4, grid), 1 - (1 - grid) ** 4, atol=1e-12)
+    assert np.allclose(url_filter.beta_below(3, 1, grid), grid**3, atol=1e-12)
+
+
+def test_registered_domains(spark):
+    want = {
+        "a.co.uk": ("a.co.uk", "co.uk"), "x.y.co.uk:8080": ("y.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "a.b.example.com": ("example.com", "com"), "user@www.example.org:80": ("example.org", "org"),
+        "10.0.0.1": ("10.0.0.1", "#address"), "10.0.0.1:99": ("10.0.0.1", "#address"), "[::1]:80": ("[::1]", "#address"), "localhost": ("localhost", "localhost"), "": ("", ""),
+        "p.me.ck": ("p.me.ck", "me.ck"), "a.www.ck": ("www.ck", "ck"), "z.github.io": ("z.github.io", "github.io"),
+    }
+    df = spark.createDataFrame([(h,) for h in want], "host string")
+    both = url_filter.domain_and_suffix(url_filter.name_of(F.col("host")), [*url_filter.SUFFIXES, "*.ck", "!www.ck"])
+    assert {r["host"]: (r[1], r[2]) for r in df.select("host", *both).collect()} == want
+    plain = url_filter.domain_and_suffix(url_filter.name_of(F.col("host")), [])
+    assert {r["host"]: r[1] for r in df.select("host", plain[0]).collect()}["a.co.uk"] == "co.uk"
+
+
+def test_urls_against_sql_with_blocked_hosts(spark, tmp_path):
+    """A table on which hosts do fall by reputation: few and many labels, ports, addresses, suffixes of two labels, repeated pages, very long urls."""
+    import duckdb
+    from conftest import rows_of
+
+    rng = random.Random(15)
+    shares = {"spam.example.net": 0.97, "www.spam.example.net": 0.9, "fine.example.net": 0.02, "new.spamfarm.co.uk": 1.0, "a.spamfarm.co.uk": 0.95, "b.spamfarm.co.uk:8080": 0.95, "shop.co.uk": 0.05, "10.0.0.7": 0.9, "10.0.0.8:81": 0.1, "half.example.org": 0.5, "x.github.io": 0.9, "y.github.io": 0.1}
+    pages, labels = [], []
+    for i in range(900):
+        host = rng.choice([*shares, "spam.example.net", "fine.example.net"]) if i % 50 else rng.choice(["rare.spamfarm.co.uk", "lone.example.net"])
+        pages.append((i, f"https://{host}/{rng.choice(['es', 'fr', 'de/8', 'en/7'])}/{i}", "x"))
+        if rng.random() < 0.6 and host != "new.spamfarm.co.uk":
+            bad = rng.random() < shares.get(host, 0.5)
+            labels.append((i, 0 if bad else 1, int(rng.random() < 0.1)))
+    pages += [(None, "http://spam.example.net/" + "p/" * 50_000, "x"), (1000, None, "x"), (1001, "no scheme", None), *pages[:30]]
+    labels += [*labels[:20], (None, 0, 1), (5, None, 0), (99_999, 0, 0)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.execute(queries.ORACLE["op10_url_filter"])
+    names, rows = [d[0] for d in want.description], want.fetchall()
+    got = queries.op10_url_filter(spark, str(tmp_path))
+    assert rows_of(got.columns, got.collect()) == rows_of(names, rows)
+    judged = {(r["host"], r["verdict"]) for r in got.filter("rule IS NULL").collect()}
+    assert {("spam.example.net", "block"), ("a.spamfarm.co.uk", "block"), ("b.spamfarm.co.uk:8080", "block"), ("10.0.0.7", "block"), ("fine.example.net", "allow"), ("shop.co.uk", "allow"), ("10.0.0.8:81", "allow")} <= judged
+
+
+def test_no_join_of_all_with_all(spark, small, capsys):
+    queries.op10_url_filter(spark, small).explain("formatted")
+    assert "NestedLoop" not in capsys.readouterr().out
 
 
 # Shared
 
 
+def test_shared_folder(spark, tmp_path):
+    """Without spark.checkpoint.dir only a local session gets a folder of its own; what is written within ``temporary`` is gone after it."""
+    import os
+    from types import SimpleNamespace
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        common.shared_root(cluster)
+    with common.temporary(spark):
+        materialize(spark.range(5), "gone")
+        path = common._written[-1][0]
+        assert os.path.isdir(path)
+    assert not os.path.exists(path)
+
+
 def test_skewed_join(spark, monkeypatch):
     monkeypatch.setattr(common, "HOT_KEYS", 4)
     left = spark.range(100).select(F.col("id"), F.when(F.col("id") < 60, 0).otherwise(F.col("id")).alias("k"))
