@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,36 +29,58 @@ _own_root: dict[int, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or where that is unset
-    (local tests) a temporary folder of this session."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where that is unset a temporary folder serves a local session; on a cluster it would be seen by one machine alone, so that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"spark.checkpoint.dir is not set; with master {master} it must name a folder that driver and executors share")
     key = id(spark.sparkContext)
     if key not in _own_root:
         _own_root[key] = tempfile.mkdtemp(prefix="fairlead-")
     return _own_root[key]
 
 
+#: Paths written since the innermost ``temporary`` began.
+_written: list[list[str]] = []
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, deleted when the driver's JVM ends."""
+    """A fresh path in the shared folder, deleted at the end of the ``temporary`` it is made in, at the latest when the driver's JVM ends."""
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    at, store = _hadoop(spark, path)
+    store.deleteOnExit(at)
+    if _written:
+        _written[-1].append(path)
     return path
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    at, store = _hadoop(spark, path)
+    store.delete(at, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was written to the shared folder within it: for steps whose result is written elsewhere by then."""
+    _written.append([])
+    try:
+        yield
+    finally:
+        for path in _written.pop():
+            remove_path(spark, path)
 
 
-def materialize(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back. Lineage ends at files that survive the loss of executors."""
+def materialize(df: DataFrame, name: str = "step", path: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder (or to ``path``) and read it back. Lineage ends at files that survive the loss of executors."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = path or shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,7 +2,7 @@
 
 Two recurrent layers read a segment of bytes, one from each end; at every position a softmax over both states labels the byte. A document's probabilities are the mean of those of all its positions. Training is numpy, by backpropagation through time with Adam, on the driver and on a bounded sample; the weights, some kilobytes, are broadcast. Whole texts are labelled in segments of ``SEGMENT`` bytes, many at a time; states start anew in each segment, so a text of any length takes bounded memory.
 
-The sample: of labelled rows that may be learnt from, about ``per_language`` documents of each language, chosen by a hash of the text, two pieces of ``PIECE`` characters from hashed places in each. The bound is a parameter of ``train``; so are seed, width and steps, and the same rows give the same weights.
+The sample: of labelled rows that may be learnt from, about ``per_language`` documents of each language, chosen by a hash of the text, two pieces of ``PIECE`` characters from hashed places in each; of more than ``most_pieces`` pieces the first by hash, and with very many languages fewer documents of each. Both bounds are parameters of ``train``; so are seed, width and steps, and the same rows give the same weights. Any number of languages: the more there are, the fewer segments are labelled at a time.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for all if nothing could be learnt. Rows with a null label are never learnt from. Repeated rows give repeated rows; extra columns are kept unless named like an output. With one learnt language all texts with a letter get it, score 1.
 """
@@ -16,13 +16,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_rows
+from .common import map_rows, materialize, skew_join
 
 SEGMENT = 128
 LANES = 2048
+#: Numbers in an array of probabilities (positions, languages, lanes); lanes go down to 16 to stay within it.
+CELLS = 1 << 22
 PIECE = 160
 UNKNOWN = "und"
-MAX_LANGUAGES = 500
+#: Languages whose shares travel in the plan; those of more are joined.
+FEW_LANGUAGES = 1000
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
 
@@ -161,6 +164,7 @@ class Tagger:
 
     def __init__(self, w: Weights) -> None:
         self.w, self.hid = w, w.c[0].shape[0]
+        self.lanes = min(LANES, max(16, CELLS // (SEGMENT * len(w.langs))))
         self.x = [a.copy() for a in w.x]
         for a in self.x:  # tanh(x / 2) serves for the gates
             a[:, : 2 * self.hid] *= 0.5
@@ -204,7 +208,7 @@ class Tagger:
     def documents(self, texts: list[bytes]) -> np.ndarray:
         """Mean probabilities (documents, languages) over all positions of each text."""
         total = np.zeros((len(texts), len(self.w.langs)))
-        codes, owner, used = np.full((LANES, SEGMENT), 256, dtype=np.int64), np.zeros(LANES, dtype=np.int64), 0
+        codes, owner, used = np.full((self.lanes, SEGMENT), 256, dtype=np.int64), np.zeros(self.lanes, dtype=np.int64), 0
 
         def flush() -> None:
             nonlocal used
@@ -221,7 +225,7 @@ class Tagger:
             a = np.frombuffer(text, dtype=np.uint8)
             at = 0
             while at < len(a):
-                n = min(LANES - used, -(-(len(a) - at) // SEGMENT))
+                n = min(self.lanes - used, -(-(len(a) - at) // SEGMENT))
                 part = a[at : at + n * SEGMENT]
                 full = len(part) // SEGMENT
                 codes[used : used + full] = part[: full * SEGMENT].reshape(full, SEGMENT)
@@ -230,26 +234,30 @@ class Tagger:
                 owner[used : used + n] = i
                 used += n
                 at += n * SEGMENT
-                if used == LANES:
+                if used == self.lanes:
                     flush()
         flush()
         lengths = np.array([max(1, len(t)) for t in texts], dtype=np.float64)
         return total / lengths[:, None]
 
 
-def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_language: int = 800, **options) -> Weights | None:
-    """Fits on at most about ``per_language`` documents a language of ``docs``, whose rows may all be learnt from."""
+def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_language: int = 800, most_pieces: int = 400_000, **options) -> Weights | None:
+    """Fits on about ``per_language`` documents a language of ``docs``, whose rows may all be learnt from, and on at most ``most_pieces`` pieces of them."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
+    counts = materialize(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    n_langs = counts.count()
+    if not n_langs:
         return None
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))])
+    each = min(per_language, max(1, most_pieces // (2 * n_langs)))
     draw = F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(1_000_000)) / 1e6
     place = lambda k: F.substr("text", (F.pmod(F.xxhash64(F.lit(k), "text"), F.greatest(F.length("text") - PIECE, F.lit(1))) + 1).cast("int"), F.lit(PIECE))
-    picked = rows.filter(draw < F.element_at(share, F.col("lang"))).select("lang", F.explode(F.array(place(2), place(3))).alias("piece"))
-    found = picked.distinct().limit(4 * per_language * len(counts)).collect()
+    if n_langs <= FEW_LANGUAGES:
+        share = F.create_map(*[F.lit(x) for r in counts.collect() for x in (r["lang"], min(1.0, each / r["n"]))])
+        drawn = rows.filter(draw < F.element_at(share, F.col("lang")))
+    else:
+        drawn = skew_join(rows, counts.select("lang", F.lit(float(each)).alias("_each"), F.col("n").alias("_n"), F.col("n").alias("_w")), "lang", "_w", "inner").filter(draw * F.col("_n") < F.col("_each"))
+    picked = drawn.select("lang", F.explode(F.array(place(2), place(3))).alias("piece")).distinct()
+    found = picked.orderBy(F.xxhash64(F.lit(4), "piece"), "lang", "piece").limit(most_pieces).collect()
     return fit([(r["piece"].encode("utf-8", "surrogatepass"), r["lang"]) for r in found], **options)
 
 

@@ -4,7 +4,7 @@ Of each text's lines those with a word are numbered; every ``WINDOW`` consecutiv
 
 Windows are counted with partial sums and joined back with hot windows by broadcast, so a window found in a third of all documents meets in no task.
 
-Defined results: null and empty texts, and texts with fewer than ``WINDOW`` lines with words, have no window and stay as they are. Lines without a word are never removed. Rows with the same id and text are one document: they don't count against each other and are cut alike. A null id sorts first. Extra columns are kept. An empty table gives an empty result.
+Defined results: null and empty texts, and texts with fewer than ``WINDOW`` lines with words, have no window and stay as they are. Lines without a word are never removed. Rows with the same id and text are one document: they don't count against each other and are cut alike. Of different texts with one id the one that is first by a hash of the text counts as earlier, an order that is arbitrary but the same in every run. A null id sorts first. Extra columns are kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations

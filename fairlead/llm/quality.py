@@ -2,7 +2,9 @@
 
 Base rules look at one text: too few words, or too many words in repeated five-word windows. Their failures are counted by host (any column that names a document's origin); a beta prior fitted by moments over all hosts shrinks each host's failure rate; documents of hosts whose shrunk rate is above ``max_host_rate`` go too.
 
-Defined results: a null or empty text has no words and fails. A null host is a host of its own. Repeated rows are judged and counted one by one. Columns of the input with the name of an output are replaced. An empty table gives an empty result. Texts of any length are judged whole; per word a few integers are held.
+That threshold is 0.8 because a rejected host takes its passing documents with it: above a rate of r it gives up at most (1 - r) / r passing documents for each failing one, at 0.8 one for four; at a mere majority it would be as many good ones as bad. The rate is shrunk, so a host of few documents needs more than that to fall.
+
+Defined results: a null or empty text has no words and fails. A null host is a host of its own and can fall like any other. Repeated rows are judged and counted one by one. Columns of the input with the name of an output are replaced. An empty table gives an empty result. Texts of any length are judged whole; per word a few integers are held.
 """
 
 from __future__ import annotations

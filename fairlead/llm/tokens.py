@@ -4,7 +4,7 @@ The vocabulary file is read for its merges alone. A text is normalised and cut i
 
 Pieces repeat, so counts are kept by piece in a table of bounded size in each task.
 
-Defined results: a null or empty text has 0 bytes and 0 tokens. Special strings inside texts count as one token each, as the file's library has it by default. Repeated rows give repeated rows; extra columns are kept unless named like an output. A text of any length is counted whole, piece by piece.
+Defined results: a null or empty text has 0 bytes and 0 tokens. Special strings inside texts count as one token each, as the file's library has it by default; a file with a special string that does not begin with ``<|``, with other normalisers or ways of splitting, or whose replacement is not that of white space by a space, is refused. Repeated rows give repeated rows; extra columns are kept unless named like an output. A text of any length is counted whole, piece by piece.
 """
 
 from __future__ import annotations
@@ -94,6 +94,9 @@ class WordBpe:
         steps = [x["type"] for x in spec["normalizer"]["normalizers"]]
         if steps != ["NFC", "Replace", "Lowercase"]:
             raise ValueError(f"{path}: normalizers {steps} are not supported")
+        blank = spec["normalizer"]["normalizers"][1]
+        if blank["pattern"] != {"Regex": "\\s+"} or blank["content"] != " ":
+            raise ValueError(f"{path}: this way of replacing is not supported")
         split, level = spec["pre_tokenizer"]["pretokenizers"]
         if split["type"] != "Split" or split["behavior"] != "Removed" or not split["invert"] or level["type"] != "ByteLevel" or level["use_regex"]:
             raise ValueError(f"{path}: this way of splitting is not supported")
@@ -107,6 +110,8 @@ class WordBpe:
         self.last = [number(x + self.end) for x in letters]
         self.ranks = {number(a) << 20 | number(b): (i, number(a + b)) for i, (a, b) in enumerate(pairs)}
         special = sorted((x["content"] for x in spec["added_tokens"] if not x["normalized"]), key=len, reverse=True)
+        if not all(x.startswith("<|") for x in special):
+            raise ValueError(f"{path}: special strings {special} are not supported")
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.kept = Kept(self._chunk)
 
