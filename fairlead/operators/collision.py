@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fairlead.functions.geo import EARTH_KM, KM_PER_NM, haversine_km, nearest_cluster, seconds_between
+from fairlead.sources.scratch import keep
 
 GROUP = ("file_seq", "mmsi")
 LEAST_ROWS = 4
@@ -86,15 +89,88 @@ def cluster_labels(lat: np.ndarray, lon: np.ndarray, eps_km: float) -> np.ndarra
     return labels
 
 
-def label_groups(rows: DataFrame, *, eps_km: float = 5.0) -> DataFrame:
-    """(file_seq, mmsi, timestamp, lat, lon, label) of ``candidate_rows``: only groups that jump come here, one vessel and file at a time."""
-    schema = "file_seq long, mmsi long, timestamp timestamp_ntz, lat double, lon double, label long"
+def small_labels(lat: np.ndarray, lon: np.ndarray, starts: np.ndarray, eps_km: float) -> np.ndarray:
+    """As ``cluster_labels``, for many small groups at once, which begin at ``starts``: all pairs within groups are compared by whole arrays."""
+    n = len(lat)
+    size = np.diff(np.append(starts, n))
+    first = np.repeat(starts, size)
+    # Row i meets the rows before it in its group.
+    before = np.arange(n) - first
+    a = np.repeat(np.arange(n), before)
+    b = np.arange(len(a)) - np.repeat(np.cumsum(before) - before, before) + first[a]
+    p, q = np.radians(lat), np.radians(lon)
+    xyz = EARTH_KM * np.stack([np.cos(p) * np.cos(q), np.cos(p) * np.sin(q), np.sin(p)], axis=1)
+    reach = 2 * EARTH_KM * np.sin(min(eps_km / (2 * EARTH_KM), np.pi / 2))
+    near = ((xyz[a] - xyz[b]) ** 2).sum(axis=1) <= max(reach, 0.0) ** 2
+    a, b = a[near], b[near]
+    root = np.arange(n)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while not np.array_equal(jumped := root[root], root):
+            root = jumped
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    joined = np.bincount(root, minlength=n) >= 2
+    number = np.cumsum(joined & (root == np.arange(n)))
+    earlier = np.concatenate([[0], number])[first]
+    return np.where(joined[root], number[root] - 1 - earlier, -1)
+
+
+#: Rows of a group that is compared pair by pair with others in one call, and pairs of such a call.
+_SMALL, _PAIRS = 256, 1 << 21
+
+
+def label_batches(batches: Iterator[pa.RecordBatch], eps_km: float) -> Iterator[pa.RecordBatch]:
+    """Adds ``label`` to batches of (file_seq, mmsi, timestamp, lat, lon), sorted so that a group's rows are together."""
+
+    def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys = [rows.column(c).to_numpy() for c in GROUP]
+        starts = np.flatnonzero(np.concatenate([[True], (keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])]))
+        ends = np.append(starts[1:], rows.num_rows)
+        lat, lon = (rows.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("lat", "lon"))
+        labels = np.full(rows.num_rows, -1, dtype=np.int64)
+        at = 0
+        while at < len(starts):
+            to, pairs = at, 0
+            while to < len(starts) and ends[to] - starts[to] <= _SMALL and pairs <= _PAIRS:
+                pairs += int(ends[to] - starts[to]) ** 2 // 2
+                to += 1
+            if to == at:
+                labels[starts[at] : ends[at]] = cluster_labels(lat[starts[at] : ends[at]], lon[starts[at] : ends[at]], eps_km)
+                to = at + 1
+            else:
+                s, e = starts[at], ends[to - 1]
+                labels[s:e] = small_labels(lat[s:e], lon[s:e], starts[at:to] - s, eps_km)
+            at = to
+        yield from rows.append_column("label", pa.array(labels)).to_batches(10_000)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        # The last group of a batch may go on in the next one.
+        keys = [batch.column(i).to_numpy() for i in range(2)]
+        other = np.flatnonzero((keys[0] != keys[0][-1]) | (keys[1] != keys[1][-1]))
+        cut = int(other[-1]) + 1 if len(other) else 0
+        goes_on = held and held[-1].column(0)[-1] == batch.column(0)[0] and held[-1].column(1)[-1] == batch.column(1)[0]
+        if cut or not goes_on:
+            whole = [*held, batch.slice(0, cut)]
+            if sum(x.num_rows for x in whole):
+                yield from flush(pa.Table.from_batches(whole).combine_chunks())
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield from flush(pa.Table.from_batches(held).combine_chunks())
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("timestamp", kind="stable", ignore_index=True)
-        return pdf.assign(label=cluster_labels(pdf["lat"].to_numpy(dtype=float), pdf["lon"].to_numpy(dtype=float), eps_km))
 
-    return rows.select(*GROUP, "timestamp", "lat", "lon").groupBy(*GROUP).applyInPandas(run, schema)
+def label_groups(rows: DataFrame, *, eps_km: float = 5.0) -> DataFrame:
+    """(file_seq, mmsi, timestamp, lat, lon, label) of ``candidate_rows``: only groups that jump come here. The window keeps groups together where they already are, so candidates are neither dealt nor sorted anew; Python gets many groups a call."""
+    whole = W.partitionBy(*GROUP)
+    ordered = rows.select(*GROUP, "timestamp", "lat", "lon").withColumn("_n", F.count("*").over(whole)).filter("_n > 0").sortWithinPartitions(*GROUP, "timestamp").drop("_n")
+    schema = "file_seq long, mmsi long, timestamp timestamp_ntz, lat double, lon double, label long"
+    return ordered.mapInArrow(lambda batches: label_batches(batches, eps_km), schema)
 
 
 def bounce_patterns(labels: DataFrame, *, min_bounces: int = 3) -> DataFrame:
@@ -131,13 +207,18 @@ def first_detections(detections: DataFrame, known: DataFrame | None = None) -> D
     return rows.groupBy("mmsi").agg(F.min_by(F.struct(*[c for c in detections.columns if c != "mmsi"]), "file_seq").alias("d")).select("mmsi", "d.*")
 
 
-def assign_clusters(df: DataFrame, registry: DataFrame) -> DataFrame:
+def kept_registry(registry: DataFrame) -> tuple[DataFrame, bool]:
+    """The registry, written once so that detection runs once, and whether it is small enough to be broadcast."""
+    places = keep(registry, "registry")
+    return places, places.count() <= FEW
+
+
+def assign_clusters(df: DataFrame, registry: DataFrame, few: bool = False) -> DataFrame:
     """Adds cluster_assignment: A or B in the file of the first detection and after it, null for others.
 
-    A registry of up to ``FEW`` identifiers is broadcast, so rows are not dealt out anew; a larger one joins by a shuffle. It is kept in memory or on disk meanwhile, as its rows are counted first.
+    A registry of up to ``FEW`` identifiers (``few``, as ``kept_registry`` says) is broadcast, so rows are not dealt out anew; a larger one joins by a shuffle.
     """
-    places = registry.select("mmsi", F.col("file_seq").alias("_from"), "a_lat", "a_lon", "b_lat", "b_lon").persist()
-    few = places.limit(FEW + 1).count() <= FEW
+    places = registry.select("mmsi", F.col("file_seq").alias("_from"), "a_lat", "a_lon", "b_lat", "b_lon")
     near = nearest_cluster(F.col("lat"), F.col("lon"), *[F.col(c) for c in ("a_lat", "a_lon", "b_lat", "b_lon")])
     known = F.coalesce(F.col("file_seq") >= F.col("_from"), F.lit(False))
     joined = df.join(F.broadcast(places) if few else places, "mmsi", "left")

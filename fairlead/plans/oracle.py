@@ -82,10 +82,6 @@ def summary(offs: str, least: int, gap: float) -> str:
 
 SHORT = longer(named(offsets(valid(pos(DAY)), 4)), 2)
 CATALOG = f"SELECT file_seq, track_id, min(mmsi) AS mmsi, min(timestamp) AS start_time, max(timestamp) AS end_time, count(*) AS num_positions, date_sub('second', min(timestamp), max(timestamp)) / 3600e0 AS duration_hours FROM ({SHORT}) GROUP BY file_seq, track_id"
-DAY_OFFSETS = offsets(no_outliers(valid(pos(DAY)), 50.0), 12)
-DAY_START = summary(DAY_OFFSETS, 2, 12)
-DAY_TRACKS = f"SELECT t.*, t.off + s.start AS num FROM ({longer(DAY_OFFSETS, 2)}) t JOIN ({DAY_START}) s USING (file_seq, mmsi)"
-
 ONE_BOUNCE = pos(bounce=True)
 HALF_BOUNCE = pos(HALF_MONTHS, bounce=True)
 
@@ -125,11 +121,23 @@ def split(source: str) -> str:
 
 VALID_BOUNCE = valid(HALF_BOUNCE, sog=False)
 _KEEP = "event_id, file_seq, mmsi, timestamp, lat, lon, cluster_assignment"
-PIPELINE = f"""{registry(VALID_BOUNCE)},
-kept AS MATERIALIZED ({no_outliers(split(VALID_BOUNCE), 50.0, keep=_KEEP)}),
-offs AS MATERIALIZED (SELECT *, first(cluster_assignment) OVER (PARTITION BY file_seq, mmsi ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS letter FROM ({offsets('SELECT * FROM kept', 4)})),
-starts AS ({summary('SELECT * FROM offs', 2, 4)}),
-tracks AS (SELECT o.event_id, o.file_seq, o.mmsi, o.timestamp, o.cluster_assignment, concat_ws('_', CAST(o.mmsi AS VARCHAR), letter, CAST(off + start AS VARCHAR)) AS track_id, {dt('o.file_seq, o.mmsi, off')} AS dt_seconds FROM ({longer('SELECT * FROM offs', 2)}) o JOIN starts s USING (file_seq, mmsi))"""
+
+
+def cleaned(source: str, gap: float) -> str:
+    """The whole pass over valid positions; the CTEs end in ``starts`` and ``tracks``."""
+    return f"""{registry(source)},
+kept AS MATERIALIZED ({no_outliers(split(source), 50.0, keep=_KEEP)}),
+offs AS MATERIALIZED (SELECT *, first(cluster_assignment) OVER (PARTITION BY file_seq, mmsi ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS letter FROM ({offsets('SELECT * FROM kept', gap)})),
+starts AS ({summary('SELECT * FROM offs', 2, gap)}),
+tracks AS (SELECT o.event_id, o.file_seq, o.mmsi, o.timestamp, o.lat, o.lon, o.cluster_assignment, off + start AS num, concat_ws('_', CAST(o.mmsi AS VARCHAR), letter, CAST(off + start AS VARCHAR)) AS track_id, {dt('o.file_seq, o.mmsi, off')} AS dt_seconds FROM ({longer('SELECT * FROM offs', 2)}) o JOIN starts s USING (file_seq, mmsi))"""
+
+
+PIPELINE = cleaned(VALID_BOUNCE, 4)
+TRACK_ROWS = "event_id, file_seq, mmsi, timestamp, cluster_assignment, track_id, dt_seconds"
+DAYS = cleaned(valid(pos(DAY)), 12)
+_STATE = "max(timestamp) AS last_timestamp, arg_max(num, (file_seq, timestamp)) AS current_segment"
+# Zips hold times to the second; rows of one second stand in the order of their events.
+ZIPPED = cleaned(valid(f"SELECT * REPLACE (CAST(date_trunc('second', timestamp) AS TIMESTAMP) AS timestamp) FROM ({pos(DAY, bounce=True)})", sog=False), 4)
 
 _SHOWN = "(user_id + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) % 4"
 _FORMATS = ["%d/%m/%Y %H:%M:%S", "%Y-%m-%d %H:%M:%S", "%d-%m-%Y %H:%M:%S", "%Y/%m/%d %H:%M:%S"]
@@ -156,16 +164,19 @@ ORACLE = {
     "track_catalog": f"SELECT * REPLACE (round(duration_hours, 6) AS duration_hours) FROM ({CATALOG})",
     "catalog_stats": f"SELECT count(*) AS total_tracks, count(DISTINCT mmsi) AS unique_mmsis, round(avg(num_positions), 6) AS avg_positions_per_track, round(avg(duration_hours), 6) AS avg_duration_hours, min(num_positions) AS min_positions, max(num_positions) AS max_positions FROM ({CATALOG})",
     "distinct_tracks": f"SELECT DISTINCT track_id FROM ({SHORT})",
-    "continuity_tracks": f"SELECT event_id, CAST(mmsi AS VARCHAR) || '_' || CAST(num AS VARCHAR) AS track_id, {dt('file_seq, mmsi, off')} AS dt_seconds FROM ({DAY_TRACKS})",
-    "starting_segments": f"SELECT file_seq, mmsi, first_ts, last_ts, last_offset, carry, start FROM ({DAY_START})",
-    "mmsi_state": f"SELECT mmsi, round(arg_max(lat, timestamp), 6) AS last_lat, round(arg_max(lon, timestamp), 6) AS last_lon, max(timestamp) AS last_timestamp, arg_max(num, timestamp) AS current_segment FROM ({DAY_TRACKS}) GROUP BY mmsi",
+    "continuity_tracks": f"WITH {DAYS} SELECT event_id, track_id, dt_seconds FROM tracks",
+    "starting_segments": f"WITH {DAYS} SELECT file_seq, mmsi, first_ts, last_ts, last_offset, carry, start FROM starts",
+    "mmsi_state": f"WITH {DAYS} SELECT mmsi, round(arg_max(lat, timestamp), 6) AS last_lat, round(arg_max(lon, timestamp), 6) AS last_lon, {_STATE} FROM tracks GROUP BY mmsi",
+    "assignment_state": f"WITH {PIPELINE} SELECT mmsi, {_STATE}, arg_max(struct_pack(c := cluster_assignment), (file_seq, timestamp)).c AS cluster_assignment FROM tracks GROUP BY mmsi",
     "collision_candidates": f"SELECT mmsi, n_rows, n_jumps FROM ({jumps(ONE_BOUNCE)})",
     "collision_labels": f"WITH {labelled(ONE_BOUNCE)} SELECT mmsi, timestamp, label FROM labels",
     "collision_bounce": f"WITH {labelled(ONE_BOUNCE)} SELECT mmsi, n_points, n_clusters, bounces, is_bounce FROM bounce",
     "collision_centroids": f"WITH {labelled(ONE_BOUNCE)} SELECT mmsi, label, round(avg(lat) + 1e-9, 6) AS lat, round(avg(lon) + 1e-9, 6) AS lon FROM labels WHERE label >= 0 GROUP BY file_seq, mmsi, label",
     "collision_registry": f"WITH {registry(HALF_BOUNCE)} SELECT mmsi, file_seq, round(a_lat + 1e-9, 6) AS a_lat, round(a_lon + 1e-9, 6) AS a_lon, round(b_lat + 1e-9, 6) AS b_lat, round(b_lon + 1e-9, 6) AS b_lon, bounces, detected_at FROM reg",
     "collision_split": f"WITH {registry(HALF_BOUNCE)} SELECT event_id, mmsi, cluster_assignment FROM ({split(HALF_BOUNCE)})",
-    "pipeline_tracks": f"WITH {PIPELINE} SELECT * FROM tracks",
+    "pipeline_tracks": f"WITH {PIPELINE} SELECT {TRACK_ROWS} FROM tracks",
+    "state_roundtrip": f"WITH {PIPELINE} SELECT {TRACK_ROWS} FROM tracks",
+    "run_tracks": f"WITH {ZIPPED} SELECT mmsi, timestamp, cluster_assignment, track_id, dt_seconds FROM tracks",
     "pipeline_stats": f"""WITH {PIPELINE} SELECT 'total_records_input' AS metric, count(*) AS value FROM events
 UNION ALL SELECT 'records_validated', count(*) FROM ({VALID_BOUNCE}) UNION ALL SELECT 'unique_mmsis', count(DISTINCT mmsi) FROM ({VALID_BOUNCE})
 UNION ALL SELECT 'collisions_detected', count(*) FROM reg UNION ALL SELECT 'records_after_outliers', count(*) FROM kept
@@ -175,6 +186,11 @@ UNION ALL SELECT 'total_records_output', count(*) FROM tracks UNION ALL SELECT '
     "pending_files": f"SELECT DISTINCT {_CLOCK} AS file FROM events WHERE {_CLOCK} NOT IN (SELECT {_CLOCK} FROM events WHERE user_id = 3) ORDER BY 1 LIMIT 5",
     "union_by_name": "SELECT event_id, user_id AS mmsi, CASE WHEN event_id % 2 = 0 THEN value END AS sog, CASE WHEN event_id % 2 = 1 THEN event_type END AS ship_type FROM events",
     "expected_files": "SELECT DISTINCT CASE WHEN d >= DATE '2024-03-01' THEN strftime(d, '%Y') || '/aisdk-' || strftime(d, '%Y-%m-%d') || '.zip' ELSE strftime(d, '%Y') || '/aisdk-' || strftime(d, '%Y-%m') || '.zip' END AS file FROM (SELECT unnest(generate_series(DATE '2023-11-15', DATE '2024-03-20', INTERVAL 1 DAY)) AS d)",
-    "zip_roundtrip": f"SELECT event_id % 2 AS file_seq, row_number() OVER (PARTITION BY event_id % 2 ORDER BY event_id) - 1 AS line, mmsi, date_trunc('second', timestamp) AS timestamp, round(lat, 6) AS lat, round(lon, 6) AS lon, sog, ship_type FROM ({pos()}) WHERE mmsi < 20",
+    "zip_roundtrip": f"SELECT dense_rank() OVER (ORDER BY CAST(timestamp AS DATE)) - 1 AS file_seq, row_number() OVER (PARTITION BY CAST(timestamp AS DATE) ORDER BY event_id) - 1 AS line, mmsi, date_trunc('second', timestamp) AS timestamp, round(lat, 6) AS lat, round(lon, 6) AS lon, sog, ship_type FROM ({pos()})",
     "parquet_roundtrip": f"SELECT event_id, mmsi, timestamp, track_id FROM ({SHORT})",
+    "manifest_roundtrip": f"SELECT DISTINCT {_CLOCK} AS file FROM events WHERE {_CLOCK} NOT IN (SELECT {_CLOCK} FROM events WHERE user_id = 3)",
+    "catalog_roundtrip": f"SELECT * REPLACE (round(duration_hours, 6) AS duration_hours) FROM ({CATALOG})",
+    "sorted_files": f"SELECT event_id, track_id, TRUE AS in_order FROM ({SHORT})",
+    "file_listing": f"SELECT DISTINCT strftime(timestamp, '%Y') AS year, strftime(timestamp, '%m') AS month, strftime(timestamp, '%d') AS day FROM ({SHORT})",
+    "size_audit": "SELECT (SELECT count(*) FROM events) AS total_files, round(avg(value), 6) AS avg_mb, min(value) AS min_mb, max(value) AS max_mb, count(*) FILTER (WHERE value < 10 OR value > 1000) AS out_of_range FROM (SELECT value FROM events ORDER BY lpad(CAST(event_id AS VARCHAR), 12, '0') LIMIT 10)",
 }

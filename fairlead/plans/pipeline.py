@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fairlead.config import Cleaning
+from fairlead.config import Config
 from fairlead.functions.ids import track_id
 from fairlead.operators import catalog, collision, outliers, segment, validate
 from fairlead.schema import REGISTRY, STATE
@@ -54,34 +55,36 @@ class Cleaned:
         return last.groupBy("mmsi").agg(F.max_by(F.struct(*fields), F.struct("file_seq", "last_timestamp")).alias("s")).select("mmsi", "s.*")
 
 
-def clean(raw: DataFrame, config: Cleaning, *, order: list[str], state: DataFrame | None = None, registry: DataFrame | None = None) -> Cleaned:
-    """``raw`` has the canonical columns and file_seq; ``order`` gives the order of ingestion within a file. ``state`` and ``registry`` come from earlier runs.
+def clean(raw: DataFrame, config: Config, *, order: list[str], state: DataFrame | None = None, registry: DataFrame | None = None, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> Cleaned:
+    """``raw`` has the canonical columns and file_seq; ``order`` gives the order of ingestion within a file. ``state`` and ``registry`` come from earlier runs. ``keep`` writes steps that several others use and reads them back; without it they are lazy.
 
     Rows are dealt out by file and vessel and sorted once; all windows that follow use that. What crosses files (numbers, centroids) is worked out on one row per file and vessel and joined back.
     """
-    validated = validate.validate_positions(raw, config.bounds, order=order)
-    found = collision.detect(validated, distance_km=config.collision_distance_km, eps_km=config.collision_eps_km, min_bounces=config.collision_min_bounces, min_rows=config.collision_min_rows)
-    names = [f.name for f in REGISTRY]
-    known = collision.first_detections(found.select(*names), registry)
-    split = collision.assign_clusters(validated, known)
+    keep = keep or (lambda df, _: df)
+    how, hit = config.cleaning, config.collision
+    validated = keep(validate.validate_positions(raw, how.bounds, order=order), "validated")
+    found = collision.detect(validated, distance_km=hit.distance_threshold_km, eps_km=hit.dbscan_eps_km, min_bounces=hit.min_bounce_count, min_rows=hit.lookback_window)
+    known, few = collision.kept_registry(collision.first_detections(found.select(*[f.name for f in REGISTRY]), registry))
+    split = collision.assign_clusters(validated, known, few)
     group: tuple = ("file_seq", "mmsi")
-    if config.split == "per_cluster":
+    if how.split == "per_cluster":
         split = split.withColumn("_series", F.coalesce("cluster_assignment", F.lit("")))
         group = (*group, "_series")
         state = None if state is None else state.withColumn("_series", F.coalesce("cluster_assignment", F.lit("")))
-    kept = outliers.remove_outliers(split, config.max_velocity_knots, config.velocity_by_ship_type, group=group)
-    offsets = segment.segment_offsets(kept, config.track_gap_hours, group=group)
+    kept = keep(outliers.remove_outliers(split, how.max_velocity_knots, how.velocity_by_ship_type, group=group), "kept")
+    offsets = segment.segment_offsets(kept, how.track_gap_hours, group=group)
     offsets = offsets.withColumn("_letter", segment.group_letter(offsets, group))
-    if config.numbering == "lexical":
+    if how.numbering == "lexical":
         if state is not None:
             raise ValueError("lexical numbering runs over all files at once")
-        summary = segment.starting_segments_lexical(offsets, config.min_track_points, config.track_gap_hours, group=group)
+        summary = segment.starting_segments_lexical(offsets, how.min_track_points, how.track_gap_hours, group=group)
     else:
-        summary = segment.starting_segments(segment.group_summary(offsets, config.min_track_points, group), config.track_gap_hours, state, group=group)
-    long = segment.filter_short(offsets, config.min_track_points, [*group, "segment_offset"])
+        summary = segment.starting_segments(segment.group_summary(offsets, how.min_track_points, group), how.track_gap_hours, state, group=group)
+    long = segment.filter_short(offsets, how.min_track_points, [*group, "segment_offset"])
     numbered = long.join(summary.select(*group, "start"), list(group)).withColumn("segment_num", F.col("segment_offset") + F.col("start"))
     tracks = numbered.withColumn("track_id", track_id(F.col("mmsi"), F.col("_letter"), F.col("segment_num"))).withColumn("dt_seconds", segment.dt_seconds([*group, "segment_offset"]))
-    return Cleaned(raw, validated, known, kept.drop("_series"), tracks.drop("_letter", "_series", "segment_offset", "start"), summary)
+    tracks = keep(tracks.drop("_letter", "_series", "segment_offset", "start"), "tracks")
+    return Cleaned(raw, validated, known, kept.drop("_series"), tracks, summary)
 
 
 def last_file_rows(df: DataFrame) -> DataFrame:

@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-import zipfile
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fairlead.config import Cleaning
+from fairlead.config import Config
 from fairlead.functions import geo, ids
 from fairlead.operators import catalog, collision, outliers, segment, validate
 from fairlead.plans.pipeline import Cleaned, clean
+from fairlead.plans.runs import Manifest, load_state, process, save_state
 from fairlead.plans.views import DAY_FILES, HALF_MONTHS, ONE_FILE, positions
-from fairlead.sources import downloads, sinks
+from fairlead.sources import downloads, sinks, store
 from fairlead.sources import positions as sources
 from fairlead.sources.scratch import scratch
 
-BOX = Cleaning().bounds
+BOX = Config().cleaning.bounds
 NARROW = {"lat_min": 54.5, "lat_max": 58.0, "lon_min": 8.0, "lon_max": 15.0}
 TYPES = {"click": 25.0, "view": 20.0, "purchase": 35.0, "signup": 15.0}
 GROUP = ["file_seq", "mmsi"]
@@ -44,7 +44,7 @@ def bouncing(spark: SparkSession, sf_dir: str, file: str = ONE_FILE) -> DataFram
 
 def whole(spark: SparkSession, sf_dir: str) -> Cleaned:
     raw = bouncing(spark, sf_dir, HALF_MONTHS)
-    return clean(raw, Cleaning(velocity_by_ship_type={}), order=["event_id"])
+    return clean(raw, Config.cleaner(velocity_by_ship_type={}), order=["event_id"])
 
 
 def validate_positions(spark, sf_dir):
@@ -124,7 +124,7 @@ def catalog_stats(spark, sf_dir):
 
 def _days(spark, sf_dir, gap: float = 12.0) -> Cleaned:
     raw = positions(spark, sf_dir, file=DAY_FILES)
-    return clean(raw, Cleaning(track_gap_hours=gap, velocity_by_ship_type={}, collision_min_rows=1_000_000), order=["event_id"])
+    return clean(raw, Config.cleaner(track_gap_hours=gap, velocity_by_ship_type={}), order=["event_id"])
 
 
 def continuity_tracks(spark, sf_dir):
@@ -166,7 +166,7 @@ def collision_registry(spark, sf_dir):
 
 def collision_split(spark, sf_dir):
     df = bouncing(spark, sf_dir, HALF_MONTHS)
-    return collision.assign_clusters(df, collision.first_detections(collision.detect(df))).select("event_id", "mmsi", "cluster_assignment")
+    return collision.assign_clusters(df, *collision.kept_registry(collision.first_detections(collision.detect(df)))).select("event_id", "mmsi", "cluster_assignment")
 
 
 def pipeline_tracks(spark, sf_dir):
@@ -218,20 +218,97 @@ def expected_files(spark, sf_dir):
     return downloads.expected_files(spark, date(2023, 11, 15), date(2024, 3, 20))
 
 
-def zip_roundtrip(spark, sf_dir):
-    """Events written to zipped CSV in a shared folder and read back by the data source."""
-    rows = positions(spark, sf_dir).filter("mmsi < 20").orderBy("event_id").select("event_id", "mmsi", "timestamp", "lat", "lon", "sog", "ship_type").collect()
+def _zipped(spark, sf_dir, df: DataFrame) -> str:
+    """Positions as the published files look: a zip a day, times to the second."""
     folder = scratch(spark, "zips")
-    store, root = sources.store_of(folder)
-    store.create_dir(root, recursive=True)
-    for k in range(2):
-        with store.open_output_stream(f"{root}/aisdk-2024-01-0{k + 1}.zip") as out, zipfile.ZipFile(out, "w") as z:
-            lines = ["# Timestamp,MMSI,Latitude,Longitude,SOG,Ship type"] + [f"{r['timestamp']:%d/%m/%Y %H:%M:%S},{r['mmsi']},{r['lat']!r},{r['lon']!r},{r['sog']!r},{r['ship_type']}" for r in rows if r["event_id"] % 2 == k]
-            z.writestr("a.csv", "\n".join(lines))
-    read = sources.read_zips(spark, sources.list_raw_files(folder))
+    named = df.select(
+        F.date_format("timestamp", "'aisdk-'yyyy-MM-dd'.zip'").alias("file"),
+        "event_id",
+        F.date_format("timestamp", "dd/MM/yyyy HH:mm:ss").alias("# Timestamp"),
+        F.col("mmsi").alias("MMSI"),
+        F.col("lat").alias("Latitude"),
+        F.col("lon").alias("Longitude"),
+        *[F.col(a).alias(b) for a, b in (("sog", "SOG"), ("ship_type", "Ship type")) if a in df.columns],
+    )
+    sources.write_zips(named, folder, "file", "event_id")
+    return folder
+
+
+def zip_roundtrip(spark, sf_dir):
+    """All events written to zipped CSV, a file a day, in a shared folder and read back by the data source."""
+    read = sources.read_zips(spark, sources.list_raw_files(_zipped(spark, sf_dir, positions(spark, sf_dir))))
     return read.select("file_seq", "line", "mmsi", "timestamp", rounded("lat"), rounded("lon"), "sog", "ship_type")
 
 
+def run_tracks(spark, sf_dir):
+    """Zips cleaned by two runs, the second of which goes on from the state, registry and manifest of the first."""
+    folder, base = _zipped(spark, sf_dir, bouncing(spark, sf_dir)), scratch(spark, "run")
+    config = Config({"cleaning": {"velocity_by_ship_type": {}}, "storage": {"raw_dir": folder, "clean_dir": f"{base}/clean", "state_dir": f"{base}/state"}})
+    process(spark, config, max_files=14)
+    process(spark, config, resume=True)
+    tracks = spark.read.option("recursiveFileLookup", True).parquet(*store_days(spark, f"{base}/clean"))
+    return tracks.select("mmsi", "timestamp", "cluster_assignment", "track_id", "dt_seconds")
+
+
+def store_days(spark, base: str) -> list[str]:
+    """The folders of the days under ``base``."""
+    return sorted({f.rpartition("/")[0] for f in store.files(spark, base, ".parquet") if "/day=" in f})
+
+
+def state_roundtrip(spark, sf_dir):
+    """The two halves of a month cleaned one after the other, state and registry saved and loaded in between."""
+    raw, folder = bouncing(spark, sf_dir, HALF_MONTHS), scratch(spark, "state")
+    config = Config.cleaner(velocity_by_ship_type={})
+    first = clean(raw.filter("file_seq = 0"), config, order=["event_id"])
+    save_state(first.state(), first.registry, folder, "1")
+    state, registry = load_state(spark, folder, "1")
+    second = clean(raw.filter("file_seq = 1"), config, order=["event_id"], state=state, registry=registry)
+    both = first.tracks.unionByName(second.tracks)
+    return both.select("event_id", "file_seq", "mmsi", "timestamp", "cluster_assignment", "track_id", "dt_seconds")
+
+
+def assignment_state(spark, sf_dir):
+    """Where each vessel goes on, with the cluster of its last position."""
+    return whole(spark, sf_dir).state().select("mmsi", "last_timestamp", "current_segment", "cluster_assignment")
+
+
+def manifest_roundtrip(spark, sf_dir):
+    """What is pending by a manifest that was saved and loaded."""
+    days, folder = _day_names(spark, sf_dir), scratch(spark, "manifest")
+    done = sorted(r["file"] for r in days.filter("user_id = 3").select("file").distinct().collect())
+    Manifest(processed=done, version="1", last_file=done[-1] if done else "").save(spark, folder)
+    files = sorted(r["file"] for r in days.select("file").distinct().collect())
+    return spark.createDataFrame([(f,) for f in Manifest.load(spark, folder).pending(files)], "file string")
+
+
+def catalog_roundtrip(spark, sf_dir):
+    return spark.read.parquet(sinks.write_catalog(track_catalog(spark, sf_dir), scratch(spark, "catalog")))
+
+
+def sorted_files(spark, sf_dir):
+    """Rows of a written file, each with whether it comes after the row before it."""
+    folder = scratch(spark, "sorted")
+    sinks.write_parquet(_short(spark, sf_dir).select("event_id", "track_id", "timestamp").repartition(4), folder)
+    rows = spark.read.parquet(folder).select("*", "_metadata.file_path", "_metadata.row_index")
+    here = F.struct("track_id", "timestamp")
+    before = F.lag(here).over(W.partitionBy("file_path").orderBy("row_index"))
+    return rows.select("event_id", "track_id", F.coalesce(before <= here, F.lit(True)).alias("in_order"))
+
+
+def file_listing(spark, sf_dir):
+    """The days found by listing what the partitioned sink wrote."""
+    folder = scratch(spark, "listing")
+    sinks.write_tracks(_short(spark, sf_dir).select("event_id", "file_seq", "mmsi", "timestamp", "track_id"), folder)
+    part = lambda c, n: F.regexp_extract("path", f"{c}=([0-9]{{{n}}})", 1).alias(c)
+    return sinks.parquet_sizes(spark, folder).filter("size_mb > 0").select(part("year", 4), part("month", 2), part("day", 2)).distinct()
+
+
+def size_audit(spark, sf_dir):
+    """The audit of a listing in which an event's value stands for a file's size."""
+    sizes = positions(spark, sf_dir).select(F.lpad(F.col("event_id").cast("string"), 12, "0").alias("path"), F.col("sog").alias("size_mb"))
+    return sinks.audit_sizes(sizes).select(F.col("total_files").cast("long").alias("total_files"), rounded("avg_mb"), "min_mb", "max_mb", "out_of_range")
+
+
 def parquet_roundtrip(spark, sf_dir):
     folder = scratch(spark, "tracks")
     tracks = _short(spark, sf_dir).select("event_id", "file_seq", "mmsi", "timestamp", "track_id")
@@ -243,6 +320,7 @@ NAMES = """validate_positions validate_dedup_first validation_stats haversine_km
 outliers_single outliers_by_ship_type outliers_iterative ship_type_limits segment_tracks filter_short_tracks dt_seconds final_segment
 track_catalog catalog_stats distinct_tracks continuity_tracks starting_segments mmsi_state collision_candidates collision_labels
 collision_bounce collision_centroids collision_registry collision_split pipeline_tracks pipeline_stats parse_timestamps
-partition_keys pending_files union_by_name expected_files zip_roundtrip parquet_roundtrip""".split()
+partition_keys pending_files union_by_name expected_files zip_roundtrip parquet_roundtrip run_tracks state_roundtrip
+assignment_state manifest_roundtrip catalog_roundtrip sorted_files file_listing size_audit""".split()
 
 QUERIES = {n: globals()[n] for n in NAMES}

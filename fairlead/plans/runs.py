@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import json
 import logging
 import time
+import uuid
 import zipfile
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
-from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from fairlead.config import Config
 from fairlead.plans.pipeline import clean
 from fairlead.schema import REGISTRY, STATE
-from fairlead.sources import positions, sinks
+from fairlead.sources import positions, sinks, store
+from fairlead.sources.scratch import keep
 
 log = logging.getLogger(__name__)
 
@@ -24,28 +24,45 @@ MANIFEST = "manifest.json"
 
 @dataclass
 class Manifest:
-    """Files done and failed, and which version of state and registry belongs to them. It is replaced only when a run's output and state are written, so state and manifest always agree."""
+    """Files done and failed, members that could not be read, and the run whose state and registry belong to them.
+
+    It is replaced as a whole, and a run counts from that moment: ``started`` names a run that may have written files but does not count yet, ``replaced`` the files that the last run puts an end to. The next run drops both, so a run that dies at any point leaves neither half its tracks nor any twice.
+    """
 
     processed: list[str] = field(default_factory=list)
     failed: list[str] = field(default_factory=list)
-    version: int = 0
+    damaged: list[dict] = field(default_factory=list)
+    version: str = ""
+    started: str = ""
+    replaced: list[str] = field(default_factory=list)
     last_file: str = ""
     updated: str = ""
     stats: dict = field(default_factory=dict)
 
     @classmethod
-    def load(cls, folder: Path) -> Manifest:
-        path = folder / MANIFEST
-        return cls(**json.loads(path.read_text(encoding="utf-8"))) if path.exists() else cls()
+    def load(cls, spark: SparkSession, folder: str) -> Manifest:
+        return cls(**(store.read_json(spark, f"{folder}/{MANIFEST}") or {}))
 
-    def save(self, folder: Path) -> None:
+    def save(self, spark: SparkSession, folder: str) -> None:
         self.updated = datetime.now(UTC).isoformat()
-        sinks.write_json(asdict(self), folder / MANIFEST)
+        store.write_json(spark, asdict(self), f"{folder}/{MANIFEST}")
 
     def pending(self, files: list[str]) -> list[str]:
         done = set(self.processed)
         return [f for f in files if f not in done]
 
+    def tidy(self, spark: SparkSession, clean_dir: str, state_dir: str) -> None:
+        """Ends what an earlier run left undone."""
+        if self.started:
+            sinks.drop_run(spark, clean_dir, self.started)
+            for name in ("state", "registry", "work"):
+                store.remove(spark, f"{state_dir}/{name}-{self.started}")
+        for path in self.replaced:
+            store.remove(spark, path)
+        if self.started or self.replaced:
+            self.started, self.replaced = "", []
+            self.save(spark, state_dir)
+
 
 def _split_readable(paths: list[str]) -> tuple[list[str], list[str]]:
     good, bad = [], []
@@ -59,39 +76,60 @@ def _split_readable(paths: list[str]) -> tuple[list[str], list[str]]:
     return good, bad
 
 
-def process(spark: SparkSession, config: Config, *, resume: bool = False, max_files: int = 0) -> dict:
-    """Cleans all pending files in one pass and writes tracks, catalog, state and manifest. Files that cannot be read are recorded as failed and tried again next time; without ``resume`` everything starts anew."""
+def save_state(state: DataFrame, registry: DataFrame, folder: str, version: str) -> None:
+    state.write.mode("overwrite").parquet(f"{folder}/state-{version}")
+    registry.write.mode("overwrite").parquet(f"{folder}/registry-{version}")
+
+
+def load_state(spark: SparkSession, folder: str, version: str) -> tuple[DataFrame, DataFrame]:
+    """State and registry that ``save_state`` wrote; an error if they are not there."""
+    return tuple(spark.read.schema(schema).parquet(f"{folder}/{name}-{version}") for name, schema in (("state", STATE), ("registry", REGISTRY)))
+
+
+def process(spark: SparkSession, config: Config, *, resume: bool = False, max_files: int | None = None) -> dict:
+    """Cleans all pending files in one pass and writes tracks, catalog, state and manifest. Files that cannot be read are recorded as failed and tried again next time, damaged members of others are recorded and left out; without ``resume`` everything starts anew and replaces the days it has rows for.
+
+    Each zip is read once and each step that several others use is written once, to a work folder beside the state that goes when the run ends.
+    """
     began = time.time()
-    raw_dir, clean_dir, state_dir = (str(config.storage.path(x)) for x in ("raw_dir", "clean_dir", "state_dir"))
+    raw_dir, clean_dir, state_dir = (config.path(x) for x in ("raw_dir", "clean_dir", "state_dir"))
     files = positions.list_raw_files(raw_dir)
     if not files:
         return {"error": f"no files under {raw_dir}"}
-    manifest = Manifest.load(Path(state_dir)) if resume else Manifest()
+    before = Manifest.load(spark, state_dir)
+    before.tidy(spark, clean_dir, state_dir)
+    manifest = before if resume else Manifest()
     todo = manifest.pending(files)
     todo = todo[:max_files] if max_files else todo
     good, bad = _split_readable(todo)
     state = registry = None
     if resume and manifest.version:
-        state = spark.read.schema(STATE).parquet(f"{state_dir}/state-{manifest.version}")
-        registry = spark.read.schema(REGISTRY).parquet(f"{state_dir}/registry-{manifest.version}")
+        state, registry = load_state(spark, state_dir, manifest.version)
     counters: dict = {}
+    run = uuid.uuid4().hex
     if good:
-        done = clean(positions.read_zips(spark, good), config.cleaning, order=["member", "line"], state=state, registry=registry)
-        done.tracks = done.tracks.persist()
+        before.started = run
+        before.save(spark, state_dir)
+        work = f"{state_dir}/work-{run}"
+        step = lambda df, name: keep(df, name, f"{work}/{name}")
+        text = positions.read_text(spark, good)
+        rows = step(positions.typed(text), "rows")
+        done = clean(rows, config, order=["member", "line"], state=state, registry=registry, keep=step)
         columns = [c for c in done.tracks.columns if c not in ("file", "member", "line", "segment_num")]
-        sinks.write_tracks(done.tracks.select(*columns), clean_dir, config.output, mode="append" if resume else "overwrite")
+        days = sinks.publish_tracks(done.tracks.select(*columns), clean_dir, run, config.output)
         sinks.write_catalog(done.catalog.drop("file_seq"), clean_dir)
-        version = manifest.version + 1
-        done.state(state).write.mode("overwrite").parquet(f"{state_dir}/state-{version}")
-        done.registry.write.mode("overwrite").parquet(f"{state_dir}/registry-{version}")
+        save_state(done.state(state), done.registry, state_dir, run)
         counters = {r["metric"]: r["value"] for r in done.stats().collect()}
-        done.tracks.unpersist()
-        manifest.version = version
-    manifest.processed += good
+        manifest.version = run
+        manifest.damaged = [*manifest.damaged, *[r.asDict() for r in positions.damaged(text).collect()]]
+        manifest.replaced = [] if resume else sinks.files_of_others(spark, days, run)
+    manifest.started = ""
+    manifest.processed = [*manifest.processed, *good]
     manifest.failed = sorted(set(manifest.failed).difference(good) | set(bad))
     manifest.last_file = todo[-1] if todo else manifest.last_file
     elapsed = time.time() - began
     n = counters.get("total_records_input", 0)
+    #: The names of these counters are fixed values.
     manifest.stats = {
         "files_processed": len(good),
         "total_records_input": n,
@@ -104,5 +142,8 @@ def process(spark: SparkSession, config: Config, *, resume: bool = False, max_fi
         "elapsed_seconds": elapsed,
         "records_per_second": n / elapsed if elapsed > 0 else 0,
     }
-    manifest.save(Path(state_dir))
-    return manifest.stats
+    manifest.save(spark, state_dir)
+    store.remove(spark, f"{state_dir}/work-{run}")
+    stats = manifest.stats
+    manifest.tidy(spark, clean_dir, state_dir)
+    return stats

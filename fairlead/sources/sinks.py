@@ -1,61 +1,87 @@
-"""Parquet sinks for tracks and catalog, JSON files that appear whole, and an audit of file sizes."""
+"""Parquet sinks for tracks and catalog, runs whose files appear when they are whole, and an audit of file sizes."""
 
 from __future__ import annotations
 
-import json
-import os
-from pathlib import Path
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.config import Output
+from fairlead.config import Config
 from fairlead.functions.ids import day_parts
+from fairlead.sources import store
 
 CATALOG = "track_catalog.parquet"
 SMALL_MB, LARGE_MB, AUDITED = 10, 1000, 10
+DAY = ["year", "month", "day"]
 
 
-def _writer(df: DataFrame, out: Output, mode: str):
+def _writer(df: DataFrame, out: SimpleNamespace | None, mode: str):
+    out = out or Config().output
     return df.write.mode(mode).option("compression", out.compression).option("parquet.compression.codec.zstd.level", out.compression_level).option("parquet.block.row.count.limit", out.row_group_size)
 
 
-def write_parquet(df: DataFrame, path: str, out: Output | None = None, mode: str = "overwrite") -> None:
+def write_parquet(df: DataFrame, path: str, out: SimpleNamespace | None = None, mode: str = "overwrite") -> None:
     """Sorted by track and time within each file, where both exist."""
     if {"track_id", "timestamp"} <= set(df.columns):
         df = df.sortWithinPartitions("track_id", "timestamp")
-    _writer(df, out or Output(), mode).parquet(path)
+    _writer(df, out, mode).parquet(path)
 
 
-def write_tracks(df: DataFrame, base: str, out: Output | None = None, *, mode: str = "overwrite", same_day: str = "merge") -> None:
-    """``year=/month=/day=`` folders with zero-padded parts. ``overwrite`` replaces the days that ``df`` has and no others; ``append`` adds to them. With ``same_day="last_file"`` only the rows of a day's last file stay.
-
-    Rows are dealt by day and a hash of the track, so a day is written by several tasks and a track lies in one file.
-    """
+def _by_day(df: DataFrame) -> DataFrame:
+    """Rows dealt by day and a hash of the track, so a day is written by several tasks and a track lies in one file."""
     df = df.withColumns(day_parts(F.col("timestamp")))
-    days = ["year", "month", "day"]
+    spread = df.repartition(*DAY, F.pmod(F.xxhash64("track_id"), F.lit(16)))
+    return spread.drop("file_seq").sortWithinPartitions(*DAY, "track_id", "timestamp")
+
+
+def write_tracks(df: DataFrame, base: str, out: SimpleNamespace | None = None, *, mode: str = "overwrite", same_day: str = "merge") -> None:
+    """``year=/month=/day=`` folders with zero-padded parts. ``overwrite`` replaces the days that ``df`` has and no others; ``append`` adds to them. With ``same_day="last_file"`` only the rows of a day's last file stay."""
     if same_day == "last_file":
-        last = df.groupBy(*days).agg(F.max("file_seq").alias("_last"))
-        df = df.join(last, days).filter(F.col("file_seq") == F.col("_last")).drop("_last")
-    spread = df.repartition(*days, F.pmod(F.xxhash64("track_id"), F.lit(16)))
-    spread = spread.drop("file_seq").sortWithinPartitions(*days, "track_id", "timestamp")
-    _writer(spread, out or Output(), mode).partitionBy(*days).option("partitionOverwriteMode", "dynamic").parquet(base)
+        day = F.to_date("timestamp")
+        last = df.groupBy(day.alias("_day")).agg(F.max("file_seq").alias("_last"))
+        df = df.withColumn("_day", day).join(last, "_day").filter(F.col("file_seq") == F.col("_last")).drop("_last", "_day")
+    _writer(_by_day(df), out, mode).partitionBy(*DAY).option("partitionOverwriteMode", "dynamic").parquet(base)
+
+
+def _of_run(run: str) -> str:
+    return f"run-{run}-"
+
+
+def publish_tracks(df: DataFrame, base: str, run: str, out: SimpleNamespace | None = None) -> list[str]:
+    """Writes tracks beside ``base``'s day folders and then moves each file to its own, named by the run, so that an unfinished run's files can be told and dropped. Returns the folders of the days."""
+    spark, staged = df.sparkSession, f"{base}/_{_of_run(run)}staged"
+    _writer(_by_day(df), out, "overwrite").partitionBy(*DAY).parquet(staged)
+    days = set()
+    for path in store.files(spark, staged, ".parquet"):
+        day, _, name = path[len(staged) + 1 :].rpartition("/")
+        store.make_folder(spark, f"{base}/{day}")
+        store.move(spark, path, f"{base}/{day}/{_of_run(run)}{name}")
+        days.add(f"{base}/{day}")
+    store.remove(spark, staged)
+    return sorted(days)
+
+
+def files_of_others(spark: SparkSession, days: list[str], run: str) -> list[str]:
+    """Parquet files in day folders that the run did not write."""
+    return [f for day in days for f in store.files(spark, day, ".parquet") if not f.rpartition("/")[2].startswith(_of_run(run))]
+
+
+def drop_run(spark: SparkSession, base: str, run: str) -> None:
+    """Removes all that a run has written under ``base``."""
+    store.remove(spark, f"{base}/_{_of_run(run)}staged")
+    for path in store.files(spark, base, ".parquet"):
+        if path.rpartition("/")[2].startswith(_of_run(run)):
+            store.remove(spark, path)
 
 
 def write_catalog(catalog: DataFrame, base: str) -> str:
+    """By as many tasks as the catalog has partitions."""
     path = f"{base}/{CATALOG}"
-    catalog.coalesce(1).write.mode("overwrite").parquet(path)
+    catalog.write.mode("overwrite").parquet(path)
     return path
 
 
-def write_json(data: dict, path: Path) -> None:
-    """Under another name first, then renamed."""
-    path.parent.mkdir(parents=True, exist_ok=True)
-    part = path.with_name(path.name + ".part")
-    part.write_text(json.dumps(data, indent=2), encoding="utf-8")
-    os.replace(part, path)
-
-
 def parquet_sizes(spark: SparkSession, folder: str) -> DataFrame:
     """(path, size_mb) of every Parquet file under ``folder``; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folder)

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from fairlead.config import Cleaning, Config
+from fairlead.config import Config
 from fairlead.functions import geo, ids
 from fairlead.operators import catalog, collision, outliers, segment, validate
 from fairlead.plans.pipeline import clean, last_file_rows
@@ -28,7 +28,7 @@ def table(spark, rows, file=0):
 def test_validation_bounds(spark):
     sogs = [None, 0.0, 102.3, 102.4, float("nan")]
     rows = [(1, i, 55.0, 10.0, s) for i, s in enumerate(sogs)] + [(2, 0, 54.0, 7.0), (2, 1, 58.5, 16.0), (2, 2, 53.99, 7.0), (2, 3, None, 7.0), (None, 4, 55.0, 10.0), (3, 0, 55.0, 10.0), (3, 0, 56.0, 11.0)]
-    got = validate.validate_positions(table(spark, rows), Cleaning().bounds, order=["ord"])
+    got = validate.validate_positions(table(spark, rows), Config().cleaning.bounds, order=["ord"])
     assert sorted(r["ord"] for r in got.collect()) == [0, 1, 2, 5, 6, 10]
     assert validate.validation_stats(table(spark, rows), got).first()[2] == 6
     free = validate.validate_positions(table(spark, [(1, 0, 90.0, 180.0), (1, 1, 90.1, 0.0)]).drop("sog"), None, order=["ord"])
@@ -65,7 +65,7 @@ def test_gaps(spark):
 
 
 def run(spark, rows, **k):
-    return clean(table(spark, rows), Cleaning(**({"bounds": None, "min_track_points": 1} | k)), order=["ord"])
+    return clean(table(spark, rows), Config.cleaner(**({"bounds": None, "min_track_points": 1} | k)), order=["ord"])
 
 
 def test_numbers_go_on_across_files(spark):
@@ -93,7 +93,7 @@ def test_two_runs_are_one(spark):
     rows = [(int(m), int(t), 55.0 + float(rng.random()) / 100, 10.0, 1.0, None, int(t) // 86400) for m in range(1, 6) for t in np.sort(rng.integers(0, 6 * 86400, 40))]
     whole = run(spark, rows, min_track_points=2)
     first = run(spark, [r for r in rows if r[6] < 3], min_track_points=2)
-    second = clean(table(spark, [r for r in rows if r[6] >= 3]), Cleaning(bounds=None), order=["ord"], state=first.state(), registry=first.registry)
+    second = clean(table(spark, [r for r in rows if r[6] >= 3]), Config.cleaner(bounds=None), order=["ord"], state=first.state(), registry=first.registry)
     key = lambda c: sorted((r["mmsi"], r["timestamp"], r["track_id"], r["dt_seconds"]) for r in c.tracks.collect())
     assert key(whole) == sorted(key(first) + key(second))
     state = lambda df: sorted(tuple(r) for r in df.select("mmsi", "last_timestamp", "current_segment").collect())
@@ -194,8 +194,71 @@ def test_headers():
 
 
 def test_csv_source(spark, tmp_path):
+    """Every file of a folder by its own header; what is read can be cleaned."""
     (tmp_path / "p.csv").write_text("Timestamp,MMSI,Latitude,Longitude\n2024-02-01 00:00:00,9,56,11\n")
     assert positions.read_csv(spark, str(tmp_path / "p.csv")).first()["lat"] == 56.0
+    (tmp_path / "q.csv").write_text("lon,lat,SOG,mmsi,# Timestamp\n12,57,3.5,8,01/02/2024 00:00:05\n12,57,3.5,8,01/02/2024 00:01:05\n")
+    rows = positions.read_csv(spark, str(tmp_path))
+    assert sorted((r["file_seq"], r["mmsi"], r["lat"], r["lon"], r["sog"]) for r in rows.collect()) == [(0, 9, 56.0, 11.0, None), (1, 8, 57.0, 12.0, 3.5), (1, 8, 57.0, 12.0, 3.5)]
+    assert clean(rows, Config(), order=["member", "line"]).tracks.count() == 2
+
+
+def test_damaged_members(spark, tmp_path):
+    """A flipped byte in one member: it gives no rows and is named; the other member and file are whole."""
+    text = "timestamp,mmsi,lat,lon\n" + "\n".join(f"2024-01-01 00:00:{i % 60:02d},{i},55.{i},10" for i in range(4000))
+    with zipfile.ZipFile(tmp_path / "aisdk-1.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("good.csv", text)
+        z.writestr("bad.csv", text)
+    write_zip(tmp_path / "aisdk-2.zip", a_csv=text)
+    with zipfile.ZipFile(tmp_path / "aisdk-1.zip") as z:
+        at = z.getinfo("bad.csv").header_offset
+    data = bytearray((tmp_path / "aisdk-1.zip").read_bytes())
+    data[at + 2000] ^= 0x55
+    (tmp_path / "aisdk-1.zip").write_bytes(data)
+    read = positions.read_text(spark, positions.list_raw_files(str(tmp_path)))
+    assert [(r["file"][-11:], r["member"]) for r in positions.damaged(read).collect()] == [("aisdk-1.zip", 1)]
+    assert {(r[0], r[1]): r[2] for r in positions.typed(read).groupBy("file_seq", "member").count().collect()} == {(0, 0): 4000, (1, 0): 4000}
+
+
+def plain_rows(data, wanted):
+    """Rows by the standard reader over the whole text."""
+    import csv
+    import io
+
+    csv.field_size_limit(2**31 - 1)
+    rows = [r for r in csv.reader(io.StringIO(data.decode("utf-8", "ignore").lstrip("\ufeff"), newline="")) if r]
+    place = {n: rows[0].index(s) for n, s in positions.map_columns(rows[0]).items()} if rows else {}
+    return [{n: (r[i] or None) if i < len(r) else None for n, i in place.items()} for r in rows[1:]] if place else []
+
+
+@settings(max_examples=120, deadline=None)
+@given(
+    st.lists(st.lists(st.sampled_from(["", "1", "x y", '"q"', '"a,b"', '"l\nm"', '5" pipe', "é", " "]), min_size=0, max_size=5).map(",".join), max_size=25),
+    st.sampled_from(["\n", "\r\n"]),
+    st.integers(1, 40),
+    st.sampled_from(["mmsi,lat,other,lon", "x,y", "lat", '"mmsi","lat",z', "\ufeffmmsi,lat,lon"]),
+)
+def test_rows_of_any_csv(lines, end, step, header):
+    """In blocks of any size, with ragged lines, quotes, empty lines and bytes that are no text: what the standard reader gives."""
+    data = end.join([header, *lines]).encode().replace(b"x y", b"x\xff y")
+    parts = [data[i : i + step] for i in range(0, len(data), step)]
+    got = [dict(zip(b, r, strict=True)) for b in positions.parse_rows(parts) for r in zip(*(c.to_pylist() for c in b.values()), strict=True)]
+    assert got == plain_rows(data, header)
+
+
+def test_a_huge_field():
+    data = b"mmsi,name,lat\n1," + b"n" * 300_000 + b",5\n2,b,6\n"
+    got = [r for b in positions.parse_rows([data]) for r in zip(b["mmsi"].to_pylist(), b["lat"].to_pylist(), strict=True)]
+    assert got == [("1", "5"), ("2", "6")]
+
+
+def test_formats_of_many_members(spark, monkeypatch):
+    """Beyond FEW members formats meet their rows by broadcast for large ones, by a shuffle for the rest."""
+    rows = [(m, f"2024-01-{1 + i % 28:02d} 00:00:00" if m % 2 else f"{1 + i % 28:02d}/01/2024 00:00:00") for m in range(30) for i in range(60 if m == 3 else 2)] + [(5, "05/01/2024 00:00:00"), (31, "none"), (32, None)]
+    df = spark.createDataFrame(rows, "member int, timestamp string")
+    want = sorted(map(str, positions.parse_timestamps(df, ["member"]).collect()))
+    monkeypatch.setattr(positions, "FEW", 4)
+    assert sorted(map(str, positions.parse_timestamps(df, ["member"]).collect())) == want and len(want) == 60 + 28 * 2 + 1
 
 
 def test_runs(spark, tmp_path):
@@ -207,17 +270,52 @@ def test_runs(spark, tmp_path):
         lines = [f"2024-01-0{d} {h:02d}:00:00,{m},55.0,10.0,5" for h in range(24) for m in (1, 2)]
         write_zip(raw / f"aisdk-2024-01-0{d}.zip", a_csv="timestamp,mmsi,lat,lon,sog\n" + "\n".join(lines))
     (raw / "aisdk-2024-01-04.zip").write_bytes(b"broken")
-    config = lambda name: Config.of({"storage": {"raw_dir": str(raw), "clean_dir": str(tmp_path / name), "state_dir": str(tmp_path / f"{name}-state")}})
+    config = lambda name: Config({"storage": {"raw_dir": str(raw), "clean_dir": str(tmp_path / name), "state_dir": str(tmp_path / f"{name}-state")}})
     once = process(spark, config("once"))
     assert (once["files_processed"], once["total_records_output"], once["unique_tracks"]) == (3, 144, 2)
     process(spark, config("twice"), max_files=2)
     process(spark, config("twice"), resume=True)
-    read = lambda name: sorted((r["mmsi"], r["timestamp"], r["track_id"]) for r in spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").parquet(*[str(p) for p in (tmp_path / name).glob("year=*")]).collect())
+    read = lambda name: sorted((r["mmsi"], r["timestamp"], r["track_id"]) for r in spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "run-*").parquet(*[str(p) for p in (tmp_path / name).glob("year=*")]).collect())
     assert read("once") == read("twice") and len(read("once")) == 144
-    assert Manifest.load(tmp_path / "once-state").failed == [str(raw / "aisdk-2024-01-04.zip")]
+    assert Manifest.load(spark, str(tmp_path / "once-state")).failed == [str(raw / "aisdk-2024-01-04.zip")]
     assert (tmp_path / "once" / "year=2024" / "month=01" / "day=02").exists()
     assert sinks.audit_sizes(sinks.parquet_sizes(spark, str(tmp_path / "once"))).first()["out_of_range"] > 0
-    assert process(spark, Config.of({"storage": {"raw_dir": str(tmp_path / "none")}}))["error"]
+    assert process(spark, Config({"storage": {"raw_dir": str(tmp_path / "none")}}))["error"]
+
+
+def day_rows(spark, folder):
+    return sorted((r["mmsi"], r["timestamp"], r["track_id"]) for r in spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "run-*").parquet(*[str(p) for p in folder.glob("year=*")]).collect())
+
+
+@pytest.mark.parametrize(("dies", "resume"), [("write_catalog", True), ("save_state", True), ("files_of_others", False), ("tidy", False)])
+def test_a_run_that_dies(spark, tmp_path, monkeypatch, dies, resume):
+    """Whenever a run ends after its tracks are written, the next one leaves each row once."""
+    from fairlead.plans import runs
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for d in (1, 2):
+        write_zip(raw / f"aisdk-2024-01-0{d}.zip", a_csv="timestamp,mmsi,lat,lon,sog\n" + "\n".join(f"2024-01-0{d} {h:02d}:00:00,{m},55.0,10.0,5" for h in range(24) for m in (1, 2)))
+    config = Config({"storage": {"raw_dir": str(raw), "clean_dir": str(tmp_path / "clean"), "state_dir": str(tmp_path / "state")}})
+    runs.process(spark, config, max_files=None if not resume else 1)
+
+    def fail(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        if dies == "tidy":
+            calls, tidy = [], runs.Manifest.tidy
+            m.setattr(runs.Manifest, "tidy", lambda *a: fail() if calls else (calls.append(1), tidy(*a)))
+        else:
+            m.setattr(*{"write_catalog": (sinks, "write_catalog"), "save_state": (runs, "save_state"), "files_of_others": (sinks, "files_of_others")}[dies], fail)
+        with pytest.raises(KeyboardInterrupt):
+            runs.process(spark, config, resume=resume)
+    runs.process(spark, config, resume=resume)
+    got = day_rows(spark, tmp_path / "clean")
+    assert len(got) == len(set(got)) == 96
+    assert not list((tmp_path / "clean").glob("_run*")) and not list((tmp_path / "state").glob("work-*"))
+    left = runs.Manifest.load(spark, str(tmp_path / "state"))
+    assert (left.started, left.replaced, len(left.processed)) == ("", [], 2)
 
 
 def test_command_line(spark, tmp_path, capsys):
@@ -231,15 +329,26 @@ def test_command_line(spark, tmp_path, capsys):
     write_zip(tmp_path / "raw" / "aisdk-1.zip", a_csv="timestamp,mmsi,lat,lon\n" + "\n".join(f"2024-01-01 0{h}:00:00,1,55,10" for h in range(5)))
     assert cli.main(["process", "-c", str(settings_file), "-o", str(tmp_path / "s.json")]) == 0
     assert cli.main(["stats", "-c", str(settings_file)]) == 0
-    assert cli.main(["validate", "-c", str(settings_file)]) == 0
+    assert cli.main(["process", "-c", str(settings_file), "-r", "-n", "1"]) == 0
+    assert cli.main(["validate", "-c", str(settings_file), "-r", str(tmp_path / "v.json")]) == 0
+    import json
+
+    report = json.loads((tmp_path / "v.json").read_text())
+    assert report["total_files"] >= len(report["file_sizes_mb"]) > 0
     assert "total_tracks: 1" in capsys.readouterr().out and (tmp_path / "s.json").exists()
 
 
-def test_settings(tmp_path):
+def test_settings(tmp_path, monkeypatch):
     assert Config.load(str(tmp_path / "none.yaml")).cleaning.track_gap_hours == 4.0
-    (tmp_path / "c.yaml").write_text("cleaning:\n  track_gap_hours: 2\n  collision: {dbscan_eps_km: 1.5}\n")
+    (tmp_path / "c.yaml").write_text("cleaning:\n  track_gap_hours: 2\n  unknown: 1\n  collision: {dbscan_eps_km: 1.5}\nother: 3\nstorage: {raw_dir: s3://bucket/raw, clean_dir: ~/c, state_dir: $AIS_STATE/x}\n")
     made = Config.load(str(tmp_path / "c.yaml"))
-    assert (made.cleaning.track_gap_hours, made.cleaning.collision_eps_km) == (2, 1.5)
+    assert (made.cleaning.track_gap_hours, made.collision.dbscan_eps_km, made.collision.lookback_window) == (2, 1.5, 10)
+    monkeypatch.setenv("AIS_STATE", "hdfs://host/state")
+    monkeypatch.setenv("HOME", "/home/x")
+    assert [made.path(n) for n in ("raw_dir", "clean_dir", "state_dir")] == ["s3://bucket/raw", "/home/x/c", "hdfs://host/state/x"]
+    with pytest.raises(TypeError):
+        Config.cleaner(gap=1)
+    assert Config().cleaning.bounds is not Config().cleaning.bounds
 
 
 def test_stream_of_files(spark, tmp_path):
@@ -257,11 +366,51 @@ def test_stream_of_files(spark, tmp_path):
                 (tmp_path / p.name).touch()
                 os.utime(p, (1_700_000_000 + d * 100,) * 2)
     schema = table(spark, rows).drop("file_seq").schema
-    stream_tracks(spark, str(source), schema, str(tmp_path / "out"), str(tmp_path / "state"), Cleaning(bounds=None), order=["ord"], checkpoint=str(tmp_path / "cp")).awaitTermination()
+    stream_tracks(spark, str(source), schema, str(tmp_path / "out"), str(tmp_path / "state"), Config.cleaner(bounds=None), order=["ord"], checkpoint=str(tmp_path / "cp")).awaitTermination()
     got = sorted((r["timestamp"], r["track_id"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == sorted((r["timestamp"], r["track_id"]) for r in run(spark, rows, min_track_points=2).tracks.collect())
 
 
+def test_a_batch_without_its_state(spark, tmp_path):
+    from fairlead.streaming.tracks import BatchCleaner
+
+    with pytest.raises(RuntimeError):
+        BatchCleaner(str(tmp_path / "out"), str(tmp_path / "state"), Config(), ["ord"])(table(spark, [(1, 0, 55.0, 10.0)]), 3)
+
+
+def test_store(spark, tmp_path):
+    from fairlead.sources import store
+
+    store.write_json(spark, {"a": "é"}, f"{tmp_path}/x/y.json")
+    store.write_json(spark, {"a": [2]}, f"{tmp_path}/x/y.json")
+    assert store.read_json(spark, f"file:{tmp_path}/x/y.json") == {"a": [2]} and store.read_json(spark, f"{tmp_path}/none.json") is None
+    assert store.files(spark, f"{tmp_path}/x", ".json") == [f"{tmp_path}/x/y.json"] and store.files(spark, f"{tmp_path}/none") == []
+
+
+def test_scratch_on_a_cluster():
+    from types import SimpleNamespace
+
+    from fairlead.sources.scratch import scratch
+
+    with pytest.raises(RuntimeError):
+        scratch(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn")), "x")
+
+
+def test_labels_of_batches():
+    """Groups within, across and larger than batches: each as on its own."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    sizes = [1, 2, 300, 5, 40, 1, 700, 3]
+    rows = [(0, g, i, *((np.nan, 10.0) if rng.random() < 0.05 else (55 + rng.random() / 3, 10 + rng.random() / 2))) for g, n in enumerate(sizes) for i in range(n)]
+    names = ["file_seq", "mmsi", "timestamp", "lat", "lon"]
+    whole = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=names)
+    want = [x for g in range(len(sizes)) for x in collision.cluster_labels(*(np.array([r[k] for r in rows if r[1] == g], dtype=float) for k in (3, 4)), 2.0).tolist()]
+    for step in (1, 7, 250, 5000):
+        got = [x for b in collision.label_batches((whole.slice(i, step) for i in range(0, len(rows), step)), 2.0) for x in b.column(5).to_pylist()]
+        assert got == want
+
+
 def test_expected_files(spark):
     names = lambda a, b: sorted(r["file"] for r in downloads.expected_files(spark, a, b).collect())
     assert names(date(2024, 2, 10), date(2024, 3, 2)) == ["2024/aisdk-2024-02.zip", "2024/aisdk-2024-03-01.zip", "2024/aisdk-2024-03-02.zip"]
