@@ -6,6 +6,7 @@ import logging
 import time
 import uuid
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 
@@ -65,15 +66,21 @@ class Manifest:
 
 
 def _split_readable(paths: list[str]) -> tuple[list[str], list[str]]:
-    good, bad = [], []
-    for p in paths:
+    """Zips whose list of members can be read, and the others. Many are opened at a time."""
+
+    def fault(path: str) -> str | None:
         try:
-            positions.csv_members(p)
-            good.append(p)
+            positions.csv_members(path)
         except (OSError, zipfile.BadZipFile) as e:
-            log.error("%s: %s", p, e)
-            bad.append(p)
-    return good, bad
+            return str(e) or type(e).__name__
+        return None
+
+    with ThreadPoolExecutor(32) as pool:
+        faults = dict(zip(paths, pool.map(fault, paths), strict=True))
+    for path, what in faults.items():
+        if what is not None:
+            log.error("%s: %s", path, what)
+    return [p for p in paths if faults[p] is None], [p for p in paths if faults[p] is not None]
 
 
 def save_state(state: DataFrame, registry: DataFrame, folder: str, version: str) -> None:

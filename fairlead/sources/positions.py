@@ -11,6 +11,7 @@ import re
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -184,16 +185,18 @@ class PositionReader(DataSourceReader):
         self.paths = [p for p in options["paths"].split("\n") if p]
 
     def partitions(self) -> list[_Part]:
-        parts = []
-        for seq, path in enumerate(self.paths):
+        def members(seq_path: tuple[int, str]) -> list[_Part]:
+            seq, path = seq_path
             if not path.lower().endswith(".zip"):
-                parts.append(_Part(path, seq, 0, None))
-                continue
+                return [_Part(path, seq, 0, None)]
             try:
-                parts += [_Part(path, seq, i, n) for i, n in enumerate(csv_members(path))]
+                return [_Part(path, seq, i, n) for i, n in enumerate(csv_members(path))]
             except (OSError, zipfile.BadZipFile) as e:
                 log.warning("%s cannot be read: %s", path, e)
-        return parts
+                return []
+
+        with ThreadPoolExecutor(32) as pool:
+            return [part for parts in pool.map(members, enumerate(self.paths)) for part in parts]
 
     def read(self, part: _Part) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(n, {"file_seq": pa.int64(), "member": pa.int32(), "line": pa.int64()}.get(n, pa.string())) for n in self.names])

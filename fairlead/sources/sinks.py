@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,14 +53,14 @@ def publish_tracks(df: DataFrame, base: str, run: str, out: SimpleNamespace | No
     """Writes tracks beside ``base``'s day folders and then moves each file to its own, named by the run, so that an unfinished run's files can be told and dropped. Returns the folders of the days."""
     spark, staged = df.sparkSession, f"{base}/_{_of_run(run)}staged"
     _writer(_by_day(df), out, "overwrite").partitionBy(*DAY).parquet(staged)
-    days = set()
-    for path in store.files(spark, staged, ".parquet"):
-        day, _, name = path[len(staged) + 1 :].rpartition("/")
-        store.make_folder(spark, f"{base}/{day}")
-        store.move(spark, path, f"{base}/{day}/{_of_run(run)}{name}")
-        days.add(f"{base}/{day}")
+    found = [path[len(staged) + 1 :].rpartition("/") for path in store.files(spark, staged, ".parquet")]
+    days = sorted({f"{base}/{day}" for day, _, _ in found})
+    for day in days:
+        store.make_folder(spark, day)
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda x: store.move(spark, f"{staged}/{x[0]}/{x[2]}", f"{base}/{x[0]}/{_of_run(run)}{x[2]}"), found))
     store.remove(spark, staged)
-    return sorted(days)
+    return days
 
 
 def files_of_others(spark: SparkSession, days: list[str], run: str) -> list[str]:
