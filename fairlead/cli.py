@@ -69,7 +69,7 @@ def main(args: list[str] | None = None) -> int:
     config, spark = Config.load(given.config), session()
     clean_dir = config.path("clean_dir")
     if given.command == "download":
-        got, skipped = download_range(spark, given.base_url, Path(config.path("raw_dir")), given.start, given.end, given.force)
+        got, skipped = download_range(spark, given.base_url, config.path("raw_dir"), given.start, given.end, given.force)
         show("download", {"downloaded": got, "skipped": skipped})
         return 0
     if given.command == "process":

@@ -5,11 +5,12 @@ from __future__ import annotations
 import logging
 import urllib.request
 from datetime import date
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fairlead.sources.positions import store_of
+
 log = logging.getLogger(__name__)
 
 #: Up to this day there is a file a month, from it on one a day.
@@ -41,26 +42,29 @@ def exists_remote(base_url: str, name: str, timeout: float = 30) -> bool:
         return False
 
 
-def download(base_url: str, name: str, folder: Path, timeout: float = 300) -> bool:
-    """Streams one file to ``folder``; it has its name only when it is whole."""
-    target = folder / name
-    target.parent.mkdir(parents=True, exist_ok=True)
-    part = target.with_name(target.name + ".part")
+def download(base_url: str, name: str, folder: str, timeout: float = 300) -> bool:
+    """Streams one file to ``folder``, a path or URI; it has its name only when it is whole."""
+    store, root = store_of(folder)
+    target = f"{root}/{name}"
+    store.create_dir(target.rpartition("/")[0], recursive=True)
     try:
-        with urllib.request.urlopen(base_url + name, timeout=timeout) as answer, part.open("wb") as out:
+        with urllib.request.urlopen(base_url + name, timeout=timeout) as answer, store.open_output_stream(target + ".part", compression=None) as out:
             while block := answer.read(1 << 20):
                 out.write(block)
-        part.replace(target)
+        store.move(target + ".part", target)
         return True
     except OSError as e:
         log.error("%s: %s", name, e)
-        part.unlink(missing_ok=True)
+        if store.get_file_info(target + ".part").is_file:
+            store.delete_file(target + ".part")
         return False
 
 
-def download_range(spark: SparkSession, base_url: str, folder: Path, start: date, end: date, force: bool = False) -> tuple[int, int]:
+def download_range(spark: SparkSession, base_url: str, folder: str, start: date, end: date, force: bool = False) -> tuple[int, int]:
     """Fetches what is expected and not there; returns how many were fetched and how many skipped."""
     names = sorted(r["file"] for r in expected_files(spark, start, end).collect())
-    wanted = [n for n in names if force or not (folder / n).exists()]
-    got = sum(exists_remote(base_url, n) and download(base_url, n, folder) for n in wanted)
+    store, root = store_of(str(folder))
+    there = {n for n, info in zip(names, store.get_file_info([f"{root}/{n}" for n in names]), strict=True) if info.is_file}
+    wanted = [n for n in names if force or n not in there]
+    got = sum(exists_remote(base_url, n) and download(base_url, n, str(folder)) for n in wanted)
     return got, len(names) - len(wanted)
