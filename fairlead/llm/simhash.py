@@ -287,8 +287,10 @@ NEAR_SHINGLE = 5
 SIMILARITY = 0.8
 MISS = 1e-5
 #: Nodes whose shingle sets are compared in one task, and shingles in all of these together.
-FAMILY = 2048
-FAMILY_SHINGLES = 2_000_000
+FAMILY = 256
+FAMILY_SHINGLES = 500_000
+#: Nodes that stand for a class when classes of one large group are compared.
+LEADERS = 16
 _SKETCH = 256
 
 _NEAR = [T.StructField("n_shingles", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), *[T.StructField(f"s{i}", T.LongType()) for i in range(_SKETCH // 64)]]
@@ -346,11 +348,11 @@ def most_sketch_bits(similarity: float) -> int:
 
 
 def _similar_in_groups(similarity: float):
-    """Makes links out of groups of rows (node, set): pairs whose sets have at least this Jaccard similarity. For each set, the lists of those that share its members are counted."""
+    """Makes links out of groups of rows (node, role, set): pairs whose sets have at least this Jaccard similarity, of which at least one finds (role 1 or 2) and the other is found (0 or 2). For each finding set, the lists of those that share its members are counted."""
 
     def fn(whole: pa.Table, starts: np.ndarray) -> pa.RecordBatch | None:
         ends = np.append(starts[1:], whole.num_rows)
-        sets = whole.column("set").combine_chunks()
+        sets, role = whole.column("set").combine_chunks(), whole.column("role").to_numpy()
         offsets, values = sets.offsets.to_numpy(), sets.values.to_numpy()
         us, vs = [], []
         for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
@@ -361,15 +363,15 @@ def _similar_in_groups(similarity: float):
             lists, first = owner[order], np.searchsorted(member[order], np.arange(member.max() + 2 if len(member) else 1))
             length, at = np.diff(first), offsets[s : e + 1] - offsets[s]
             labels = np.arange(e - s)
-            for i in range(e - s):
+            found = role[s:e] != 1
+            for i in np.flatnonzero(role[s:e] != 0).tolist():
                 shared = np.zeros(e - s, dtype=np.int64)
                 for j in range(at[i], at[i + 1], 1024):
                     own = member[j : min(j + 1024, at[i + 1])]
                     n = length[own]
                     reach = np.repeat(first[own] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                     shared += np.bincount(lists[reach], minlength=e - s)
-                shared = shared[:i]
-                near = np.flatnonzero(shared >= similarity * (size[i] + size[:i] - shared))
+                near = np.flatnonzero(found & (shared >= similarity * (size[i] + size - shared)))
                 near = near[labels[near] != labels[i]]
                 if len(near):
                     labels = join_labels(labels, np.full(len(near), i), near)
@@ -384,33 +386,75 @@ def _similar_in_groups(similarity: float):
     return fn
 
 
+def connect(members: DataFrame, payload: DataFrame, fn, kind: str, *, most: int) -> DataFrame:
+    """Links (u, v) that connect, within each group of ``members`` (group, node, parts; materialised), what all links that ``fn`` finds in it would connect. ``payload`` has what ``fn`` compares, by node.
+
+    A group of one part is compared whole. In a larger one first the parts are, each by itself, which joins most of a crowd of like nodes to few classes; then some nodes of each class with those of the others; and at last all that is not in the group's largest class with all of the group. So every pair of nodes that are not connected by then has been compared, but a crowd in which most are alike costs in proportion to its size and not to the square of it.
+    """
+
+    def links(dealt: DataFrame) -> DataFrame:
+        return map_groups(dealt.join(payload, "node"), "_g", fn, f"u {kind}, v {kind}")
+
+    def role(r: int):
+        return F.lit(r).cast("byte").alias("role")
+
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    found = links(members.select(F.when(F.col("parts") == 1, F.col("group")).otherwise(F.xxhash64("group", part)).alias("_g"), "node", role(2)))
+    many = members.filter("parts > 1")
+    if many.isEmpty():
+        return found
+    found = materialize(found, "found")
+
+    def classes() -> tuple[DataFrame, DataFrame]:
+        """Large groups' members with their class, and of groups with several classes (group, largest, others)."""
+        known = materialize(many.join(components(found), "node", "left").select("group", "node", "parts", F.coalesce("root", "node").alias("class")), "known")
+        sizes = known.groupBy("group", "class").agg(F.count("*").alias("n")).groupBy("group").agg(F.max_by("class", F.struct("n", "class")).alias("largest"), (F.sum("n") - F.max("n")).alias("others"), F.sum("n").alias("_w"))
+        return known, materialize(sizes.filter("others > 0"), "several")
+
+    known, several = classes()
+    if several.isEmpty():
+        return found
+    some = skew_join(known, several.select("group", "_w"), "group", "_w", "inner").groupBy("group", "class", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("_s")).agg(F.min("node").alias("node"))
+    some = materialize(some.select("group", "node"), "leaders")
+    dealt = materialize(some.groupBy("group").agg(F.count("*").alias("_w"), F.ceil(F.count("*") / most).cast("int").alias("parts")), "dealt")
+    # Two parts meet in the group of their smaller and greater number.
+    met = skew_join(some, dealt, "group", "_w", "inner").withColumn("_a", part).withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    found = materialize(found.unionByName(links(met.select(F.xxhash64("group", F.least("_a", "_b"), F.greatest("_a", "_b")).alias("_g"), "node", role(2)))), "found")
+    known, several = classes()
+    if several.isEmpty():
+        return found
+    spread = several.select("group", "largest", F.ceil(F.col("others") / most).cast("int").alias("blocks"), "_w")
+    left = skew_join(known, spread, "group", "_w", "inner")
+    # A block of the others meets each part of all.
+    every = left.withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.xxhash64("group", part, "_b").alias("_g"), "node", role(0))
+    block = F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int")
+    others = left.filter(F.col("class") != F.col("largest")).withColumn("_a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(F.xxhash64("group", "_a", block).alias("_g"), "node", role(1))
+    return materialize(found.unionByName(links(every.unionByName(others))), "found")
+
+
 def _verified(keyed: DataFrame, nodes: DataFrame, families: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links (u, v) that connect the nodes of each family (node, root) whose shingle sets, compared whole, are similar. Families beyond ``FAMILY`` nodes or ``FAMILY_SHINGLES`` are split by hash and compared two parts at a time."""
-    many = F.greatest(F.count("*") / FAMILY, F.sum("n_shingles") / FAMILY_SHINGLES)
-    sizes = materialize(families.join(nodes.select("node", "n_shingles"), "node").groupBy("root").agg(F.count("*").alias("_w"), F.ceil(many).cast("int").alias("_parts")), "families")
-    parted = skew_join(families, sizes, "root", "_w").withColumn("_part", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
-    # Two parts meet in the group of their smaller and greater number; with one part there is one group.
-    met = parted.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).select("node", F.xxhash64("root", F.least("_part", "_other"), F.greatest("_part", "_other")).alias("_g"))
+    """Links (u, v) that connect the nodes of each family (node, root) whose shingle sets, compared whole, are similar. A task holds about ``FAMILY`` nodes or ``FAMILY_SHINGLES``, at most twice."""
+    many = F.ceil(F.greatest(F.count("*") / FAMILY, F.sum("n_shingles") / FAMILY_SHINGLES))
+    sizes = materialize(families.join(nodes.select("node", "n_shingles"), "node").groupBy("root").agg(F.count("*").alias("_w"), F.greatest(F.lit(1), many).cast("int").alias("parts")), "families")
+    members = materialize(skew_join(families, sizes, "root", "_w").select(F.xxhash64("root").alias("group"), "node", "parts"), "members")
     wanted = families.select("node").join(nodes.select("node", "first"), "node")
     rows = keyed.join(wanted, (keyed["node"] == wanted["node"]) & keyed["id"].eqNullSafe(wanted["first"])).select(keyed["node"], "text").dropDuplicates(["node"])
     field = T.StructField("set", T.ArrayType(T.LongType()))
     sets = materialize(map_rows(rows, "text", [field], lambda: lambda texts: {"set": [shingle_set(t, shingle) for t in texts]}).drop("text"), "sets")
-    return map_groups(met.join(sets, "node").select("_g", "node", "set"), "_g", _similar_in_groups(similarity), "u binary, v binary")
+    return connect(members, sets, _similar_in_groups(similarity), "binary", most=FAMILY)
 
 
 def band_links(nodes: DataFrame, most: int, *, block: int = BLOCK) -> DataFrame:
     """Links (u, v) that connect the nodes (node, bands, s0...) that share a band and whose sketches differ in at most ``most`` bits. ``nodes`` must be materialised."""
-    # Most bands are of one node only: they are told by their hash alone before sketches travel. Nodes of one name would only be compared.
-    named = nodes.select(F.xxhash64("node").alias("name"), "node", F.col("s0").alias("fp"), *[f"s{i}" for i in range(1, _SKETCH // 64)])
-    keyed = nodes.select(F.xxhash64("node").alias("name"), F.posexplode("bands").alias("i", "key")).select("name", F.xxhash64("i", "key").alias("_g"))
-    shared = materialize(keyed.groupBy("_g").agg(F.count("*").alias("_w")).filter("_w > 1").withColumn("_blocks", F.when(F.col("_w") > block, F.ceil(F.col("_w") / block)).cast("int")), "shared")
-    met = skew_join(keyed, shared, "_g", "_w", "inner").join(named, "name").withColumn("role", F.lit(2).cast("byte"))
-    if not shared.filter(F.col("_blocks").isNotNull()).isEmpty():
-        met = _in_blocks(materialize(met, "met")).withColumn("_g", F.xxhash64("_g", "_part"))
     # No part of the sketch can differ in more bits than the whole: the first one is looked at before the others.
     more = ["fp", *[f"s{i}" for i in range(1, _SKETCH // 64)]]
+    sketches = nodes.select("node", F.xxhash64("node").alias("name"), F.col("s0").alias("fp"), *more[1:])
+    # Most bands are of one node only: they are told by their hash alone before nodes travel.
+    keyed = nodes.select("node", F.posexplode("bands").alias("i", "key")).select("node", F.xxhash64("i", "key").alias("group"))
+    shared = materialize(keyed.groupBy("group").agg(F.count("*").alias("_w")).filter("_w > 1").withColumn("parts", F.ceil(F.col("_w") / block).cast("int")), "shared")
+    members = materialize(skew_join(keyed, shared, "group", "_w", "inner").select("group", "node", "parts"), "members")
     kind = nodes.schema["node"].dataType.simpleString()
-    return map_groups(met.select("_g", "node", "name", "role", *more), "_g", _links_of_groups(most, more, most), f"u {kind}, v {kind}")
+    return connect(members, sketches, _links_of_groups(most, more, most), kind, most=block)
 
 
 def near_classes(docs: DataFrame, *, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:

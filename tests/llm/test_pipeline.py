@@ -1,11 +1,15 @@
 """The pipeline's stages, one after the other, against brute force on a small table."""
 
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from test_text_operators import brute_cut, brute_hits, jaccard, words
 
 import corpus_pipeline
+from fairlead.llm import mix
+from fairlead.llm.common import materialize
 from fairlead.llm.quality import text_stats
 
 
@@ -92,3 +96,64 @@ def test_run(spark, corpus):
     rows = corpus_pipeline.run(spark, corpus[0])
     assert rows.columns == ["doc_id", "text", "lang", "source", "n_chars", "copies"] and rows.count() > 0
     assert all(r["n_chars"] == len(r["text"]) for r in rows.collect())
+
+
+ODD = [
+    (None, None, None, None, None),
+    (1, "", "en", "s", 0),
+    (2, " \n\t ", "en", "s", 4),
+    *[(3, " ".join(f"w{i}" for i in range(30)), None, "s", 0)] * 4,
+    (4, " ".join(f"w{i}" for i in range(30)), "en", None, 0),
+    (None, " ".join(f"u{i}" for i in range(40)), "en", "t", 0),
+    (None, " ".join(f"u{i}" for i in range(40)), "en", "t", 0),
+    (6, "\n".join(" ".join(f"{c}{i}" for c in "abcdefgh") for i in range(9)), "fr", "t", 0),
+    (7, " ".join(f"v{i % 60_000}" for i in range(120_000)), "fr", "t", 0),
+]
+CLASHING = ["copies", "node", "fp", "first", "root", "host", "n_words", "n_hit", "base_failed", "at", "id", "_c0", "_c1", "_id", "_m", "_p", "key", "_text", "_in", "group", "parts"]
+
+
+@pytest.fixture(scope="module")
+def odd_corpus(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("odd"))
+    docs = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.withColumns({c: F.lit("own") for c in CLASHING}).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(None, None), (1, "")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+def test_stages_on_odd_tables(spark, odd_corpus):
+    """Nulls, repeated rows, empty and very long texts, extra columns with names that stages use: no stage changes or loses a column, copies go, the rest stays."""
+    docs = spark.read.parquet(f"{odd_corpus}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, odd_corpus), name)
+        assert docs.columns == (columns if name != "mix_sources" else [*columns, "_copies"])
+        assert docs.filter("copies = 'own' AND node = 'own' AND _p = 'own'").count() == docs.count()
+        if name == "quality_rules":
+            assert sorted(str(r["doc_id"]) for r in docs.collect()) == ["3", "3", "3", "3", "4", "6", "None", "None"]
+        if name in ("near_dedup", "decontaminate"):
+            assert sorted(str(r["doc_id"]) for r in docs.collect()) == ["3", "6", "None"]
+    assert {str(r["doc_id"]) for r in docs.collect()} <= {"3", "6", "None"}
+
+
+def test_stages_on_an_empty_table(spark, odd_corpus):
+    docs = spark.read.parquet(f"{odd_corpus}/documents.parquet").filter("false")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, odd_corpus), name)
+        assert docs.count() == 0 and set(docs.columns) >= {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def test_mixing_by_expectation(spark, corpus):
+    """The last stage against a plain computation: every document's copies are the whole numbers around its source's rate, and each source's words lie within one document of its target."""
+    docs = spark.read.parquet(f"{corpus[0]}/documents.parquet").filter("doc_id IS NOT NULL")
+    rows = docs.collect()
+    size = {r["doc_id"]: len(words(r["text"])) for r in rows}
+    names = sorted({r["source"] for r in rows})
+    total = {n: sum(size[r["doc_id"]] for r in rows if r["source"] == n) for n in names}
+    goal = dict(zip(names, mix.targets([total[n] for n in names], [mix.WEIGHTS[i % 3] for i in range(len(names))]), strict=True))
+    got = {r["doc_id"]: r["copies"] for r in corpus_pipeline.mix_sources(spark, docs, corpus[0]).collect()}
+    for n in names:
+        mine = [r["doc_id"] for r in rows if r["source"] == n]
+        rate = goal[n] / total[n]
+        assert all(got.get(i, 0) in {math.floor(rate), math.ceil(rate)} for i in mine if size[i])
+        assert abs(sum(got.get(i, 0) * size[i] for i in mine) - goal[n]) <= max(size[i] for i in mine)
