@@ -2,7 +2,7 @@
 
 Each source has a target size; each of its documents the same expected number of copies, target / size of the source. The whole part of that is taken; the fractional parts are rounded dependently: two documents at a time transfer mass (probability times size) at random, up or down so that expectations stay, until one's probability is 0 or 1. The source's expected total therefore never moves; when one document is left with a fraction it is drawn alone, so a source ends within one document of its target, and every document's expected copies are exactly target / size, whatever its length. There is one set of draws, never a choice among several.
 
-The work forms a tree: leaves are groups of about ``LEAF`` documents of a source, rounded each in one task until one document is left in each; the left ones meet in groups of ``FAN`` at the next level, and so on to the root. No group grows with the input, however large a source or however often a row is repeated: equal rows are counted first and dealt out ``CHUNK`` at a time. Groups depend on ids and hashes of texts alone and draws on a hash, so reruns agree whatever the partitioning.
+The work forms a tree: leaves are groups of about ``LEAF`` documents of a source, rounded each in one task until one document is left in each; the left ones meet in pairs, in groups of ``FAN``, at the next level, and so on to the root. In a leaf all have the same fraction, and the largest document is paired with the rest of them as one, which gives or takes the mass evenly; when it is settled the next largest is, against what then is left. So a long document can be settled at all, the rest making up for it, and the one left over in the end is one of the smallest. No group grows with the input, however large a source or however often a row is repeated: equal rows are counted first and dealt out ``CHUNK`` at a time. Groups depend on ids and hashes of texts alone and draws on a hash, so reruns agree whatever the partitioning.
 
 Defined results: null and empty texts have size 0, no copies and nothing taken. A null source is a source, last in order. Repeated rows are rounded one by one. Extra columns are kept by ``mix`` and ignored by ``mix_counts``. An empty table gives an empty result. Copies never exceed ``max_repeats``. Any number of sources: targets of up to ``FEW_SOURCES`` are worked out on the driver and broadcast, those of more in a table, with the same result.
 """
@@ -82,6 +82,38 @@ def duel(p: np.ndarray, w: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, int]:
     return np.array(p, dtype=float), carry
 
 
+def settle(p: float, w: np.ndarray, u: np.ndarray, last: bool) -> tuple[np.ndarray, int]:
+    """Rounds documents that all have probability ``p``, largest first: each meets the rest as one, and mass moves between them, evenly over the rest, until the document or the whole rest is at 0 or 1. Returns what ``duel`` does.
+
+    A rest that is too small to make up for a document is at 0 or 1 before the document is. Where others follow (not ``last``) the document is then left with a fraction. At the root it is drawn, and the rest makes up for as much as it can with all expectations kept: no more than the mass of that document can then be missing.
+    """
+    out, n = np.zeros(len(w)), len(w)
+    rest = np.append(np.cumsum(w[::-1])[::-1], 0.0).tolist()
+    w, u = w.tolist(), u.tolist()
+    for i in range(n):
+        if p < 1e-12 or p > 1 - 1e-12:
+            out[i:] = round(p)
+            return out, -1
+        s = rest[i + 1]
+        if last and s > 0.0:
+            out[i] = float(u[i] < p)
+            share = min(w[i] / s, p / (1.0 - p), (1.0 - p) / p)
+            p = min(1.0, max(0.0, p + share * (p - out[i])))
+            continue
+        up, down = min((1.0 - p) * w[i], p * s), min(p * w[i], (1.0 - p) * s)
+        if s <= 0.0:
+            out[i] = p
+            return out, i
+        more = u[i] * (up + down) < down
+        move = up if more else -down
+        if whole := ((1.0 - p) * w[i] <= p * s if more else p * w[i] <= (1.0 - p) * s):
+            out[i], p = float(more), min(1.0, max(0.0, p - move / s))
+        if not whole:
+            out[i], out[i + 1 :] = p + move / w[i], 0.0 if more else 1.0
+            return out, i if 1e-12 < out[i] < 1 - 1e-12 else -1
+    return out, -1
+
+
 _STATE = "doc_id {id}, source string, size long, source_size long, target double, copies long, p double, tie long, rank long, n long, leaf long, mark long"
 
 
@@ -96,15 +128,22 @@ def _uniform(ids: np.ndarray, level: int, seed: int) -> np.ndarray:
 
 
 def round_rows(size: np.ndarray, p: np.ndarray, names: np.ndarray, level: int, seed: int, last: bool) -> np.ndarray:
-    """``p`` of one group, in order, rounded until one fraction is left; at the root (``last``) that one is drawn alone. ``names`` tell the rows' draws apart."""
-    p, left = duel(p, size, _uniform(names, level, seed))
+    """``p`` of one group, largest first, rounded until one fraction is left; at the root (``last``) that one is drawn alone. ``names`` tell the rows' draws apart."""
+    draws = _uniform(names, level, seed)
+    some = np.flatnonzero((p > 0.0) & (p < 1.0))
+    if level == 0 and len(some):
+        p = p.copy()
+        p[some], left = settle(float(p[some[0]]), size[some], draws[some], last)
+        left = int(some[left]) if left >= 0 else -1
+    else:
+        p, left = duel(p, size, draws)
     if last and left >= 0:
         p[left] = float(_uniform(names[left : left + 1], level + 1000, seed)[0] < p[left])
     return p
 
 
 def _round_group(level: int, seed: int, last: bool):
-    """Largest documents first: those that meet are of like size, and a large one that is left meets all smaller ones after it, so the one left over in the end tends to be small."""
+    """Rows of a source's leaf (level 0) or of the ones left over by several groups."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         times = pdf["n"].to_numpy()
