@@ -6,6 +6,8 @@ Links are returned as those that connect what each value brings together, at mos
 
 Copies share a fingerprint and are one node from the start; links join nodes, components come from ``graph.components``, and documents get them back by a join that broadcasts hot fingerprints.
 
+Near-dedup (``near_dedup``) goes the same way, with fingerprints over distinct shingles and within ``TAU`` bits; what that connects is compared exactly by whole shingle sets. Texts may be as similar as asked and yet differ in more bits, so texts that the pigeonhole leaves apart are candidates too if they share a band of minimum hashes.
+
 Defined results: a null or empty text, or one without words, has fingerprint 0 and is linked like any other. Fewer words than a shingle: the whole sequence is one. Null ids are fingerprinted and linked; a component's id is its smallest id that is not null. Repeated rows are rows. Extra columns are ignored (``components_of``) or kept (``near_dedup``). Empty tables give empty results. Texts of any length are hashed in pieces.
 """
 
@@ -282,7 +284,7 @@ def components_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     return skew_join(prints, named, "fp", "_w").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-#: Near copies: five-word shingles and this Jaccard similarity; candidates share a band of minimum hashes, which a pair that similar fails to do at most so often.
+#: Near copies: five-word shingles and this Jaccard similarity; candidates have fingerprints over distinct shingles within so many bits, or share a band of minimum hashes, which a pair that similar fails to do at most so often.
 NEAR_SHINGLE = 5
 SIMILARITY = 0.8
 MISS = 1e-5
@@ -293,7 +295,7 @@ FAMILY_SHINGLES = 500_000
 LEADERS = 16
 _SKETCH = 256
 
-_NEAR = [T.StructField("n_shingles", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), *[T.StructField(f"s{i}", T.LongType()) for i in range(_SKETCH // 64)]]
+_NEAR = [T.StructField("n_shingles", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), *[T.StructField(f"s{i}", T.LongType()) for i in range(_SKETCH // 64)]]
 
 
 def band_rows(similarity: float) -> int:
@@ -302,7 +304,7 @@ def band_rows(similarity: float) -> int:
 
 
 class NearPrints:
-    """Of a text the size of its shingle set, and from 256 minimum hashes of that set a key for each band of them and a sketch, a bit of each. A minimum hash of two sets with Jaccard similarity s is the same with chance s, so their sketches differ in (1 - s) / 2 of their bits on average."""
+    """Of a text the size of its shingle set, its fingerprint, and from 256 minimum hashes of it a key for each band of them and a sketch, a bit of each. A minimum hash of two sets with Jaccard similarity s is the same with chance s, so their sketches differ in (1 - s) / 2 of their bits on average."""
 
     def __init__(self, shingle: int, rows: int) -> None:
         rng = np.random.default_rng(11)
@@ -330,10 +332,10 @@ class NearPrints:
     def __call__(self, text: str | None) -> list:
         sets = [np.unique(h) for h in shingle_hashes(text, self.shingle)]
         if not sets:
-            return [0, [], *[0] * (_SKETCH // 64)]
+            return [0, 0, [], *[0] * (_SKETCH // 64)]
         shingles = np.unique(np.concatenate(sets))
         low = self.lowest(shingles)
-        return [len(shingles), self.bands(low), *self.sketch(low)]
+        return [len(shingles), majority(iter([shingles])), self.bands(low), *self.sketch(low)]
 
 
 def shingle_set(text: str | None, k: int) -> list[int]:
@@ -386,8 +388,8 @@ def _similar_in_groups(similarity: float):
     return fn
 
 
-def connect(members: DataFrame, payload: DataFrame, fn, kind: str, *, most: int) -> DataFrame:
-    """Links (u, v) that connect, within each group of ``members`` (group, node, parts; materialised), what all links that ``fn`` finds in it would connect. ``payload`` has what ``fn`` compares, by node.
+def connect(members: DataFrame, payload: DataFrame, fn, kind: str, *, most: int, known: DataFrame | None = None) -> DataFrame:
+    """Links (u, v) that connect, within each group of ``members`` (group, node, parts; materialised), what all links that ``fn`` finds in it would connect. ``payload`` has what ``fn`` compares, by node. ``known``: links (u, v) that hold already and are returned too.
 
     A group of one part is compared whole. In a larger one first the parts are, each by itself, which joins most of a crowd of like nodes to few classes; then some nodes of each class with those of the others; and at last all that is not in the group's largest class with all of the group. So every pair of nodes that are not connected by then has been compared, but a crowd in which most are alike costs in proportion to its size and not to the square of it.
     """
@@ -400,6 +402,7 @@ def connect(members: DataFrame, payload: DataFrame, fn, kind: str, *, most: int)
 
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     found = links(members.select(F.when(F.col("parts") == 1, F.col("group")).otherwise(F.xxhash64("group", part)).alias("_g"), "node", role(2)))
+    found = found if known is None else found.unionByName(known)
     many = members.filter("parts > 1")
     if many.isEmpty():
         return found
@@ -407,24 +410,24 @@ def connect(members: DataFrame, payload: DataFrame, fn, kind: str, *, most: int)
 
     def classes() -> tuple[DataFrame, DataFrame]:
         """Large groups' members with their class, and of groups with several classes (group, largest, others)."""
-        known = materialize(many.join(components(found), "node", "left").select("group", "node", "parts", F.coalesce("root", "node").alias("class")), "known")
-        sizes = known.groupBy("group", "class").agg(F.count("*").alias("n")).groupBy("group").agg(F.max_by("class", F.struct("n", "class")).alias("largest"), (F.sum("n") - F.max("n")).alias("others"), F.sum("n").alias("_w"))
-        return known, materialize(sizes.filter("others > 0"), "several")
+        classed = materialize(many.join(components(found), "node", "left").select("group", "node", "parts", F.coalesce("root", "node").alias("class")), "classed")
+        sizes = classed.groupBy("group", "class").agg(F.count("*").alias("n")).groupBy("group").agg(F.max_by("class", F.struct("n", "class")).alias("largest"), (F.sum("n") - F.max("n")).alias("others"), F.sum("n").alias("_w"))
+        return classed, materialize(sizes.filter("others > 0"), "several")
 
-    known, several = classes()
+    classed, several = classes()
     if several.isEmpty():
         return found
-    some = skew_join(known, several.select("group", "_w"), "group", "_w", "inner").groupBy("group", "class", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("_s")).agg(F.min("node").alias("node"))
+    some = skew_join(classed, several.select("group", "_w"), "group", "_w", "inner").groupBy("group", "class", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("_s")).agg(F.min("node").alias("node"))
     some = materialize(some.select("group", "node"), "leaders")
     dealt = materialize(some.groupBy("group").agg(F.count("*").alias("_w"), F.ceil(F.count("*") / most).cast("int").alias("parts")), "dealt")
     # Two parts meet in the group of their smaller and greater number.
     met = skew_join(some, dealt, "group", "_w", "inner").withColumn("_a", part).withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     found = materialize(found.unionByName(links(met.select(F.xxhash64("group", F.least("_a", "_b"), F.greatest("_a", "_b")).alias("_g"), "node", role(2)))), "found")
-    known, several = classes()
+    classed, several = classes()
     if several.isEmpty():
         return found
     spread = several.select("group", "largest", F.ceil(F.col("others") / most).cast("int").alias("blocks"), "_w")
-    left = skew_join(known, spread, "group", "_w", "inner")
+    left = skew_join(classed, spread, "group", "_w", "inner")
     # A block of the others meets each part of all.
     every = left.withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.xxhash64("group", part, "_b").alias("_g"), "node", role(0))
     block = F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int")
@@ -444,17 +447,26 @@ def _verified(keyed: DataFrame, nodes: DataFrame, families: DataFrame, shingle:
     return connect(members, sets, _similar_in_groups(similarity), "binary", most=FAMILY)
 
 
-def band_links(nodes: DataFrame, most: int, *, block: int = BLOCK) -> DataFrame:
-    """Links (u, v) that connect the nodes (node, bands, s0...) that share a band and whose sketches differ in at most ``most`` bits. ``nodes`` must be materialised."""
+def print_links(nodes: DataFrame, *, tau: int = TAU, block: int = BLOCK) -> DataFrame:
+    """Links (u, v) that connect the nodes (node, fp) whose fingerprints differ in at most ``tau`` bits: equal ones to their smallest node, those by the pigeonhole. ``nodes`` must be materialised."""
+    firsts = materialize(nodes.groupBy("fp").agg(F.min("node").alias("u"), F.count("*").alias("_w")), "firsts")
+    equal = skew_join(nodes.select("node", "fp"), firsts.filter("_w > 1"), "fp", "_w", "inner").select("u", F.col("node").alias("v")).filter("u < v")
+    return equal.unionByName(close_links(firsts.select(F.col("u").alias("node"), "fp"), tau, block=block))
+
+
+def band_links(nodes: DataFrame, close: DataFrame, most: int, *, block: int = BLOCK) -> DataFrame:
+    """``close`` links (u, v) and those that connect, beyond them, the nodes (node, bands, s0...) that share a band and whose sketches differ in at most ``most`` bits. A band whose nodes ``close`` connects already is not looked at. Both must be materialised."""
     # No part of the sketch can differ in more bits than the whole: the first one is looked at before the others.
     more = ["fp", *[f"s{i}" for i in range(1, _SKETCH // 64)]]
     sketches = nodes.select("node", F.xxhash64("node").alias("name"), F.col("s0").alias("fp"), *more[1:])
-    # Most bands are of one node only: they are told by their hash alone before nodes travel.
+    # Most bands are of one class only: they are told by their hash alone before nodes travel.
+    rooted = nodes.select("node", "bands").join(components(close), "node", "left").select(F.xxhash64(F.coalesce("root", "node")).alias("class"), F.posexplode("bands").alias("i", "key"))
+    apart = rooted.groupBy(F.xxhash64("i", "key").alias("group")).agg(F.count("*").alias("_w"), F.min("class").alias("_a"), F.max("class").alias("_b")).filter("_a < _b")
+    shared = materialize(apart.select("group", "_w", F.ceil(F.col("_w") / block).cast("int").alias("parts")), "shared")
     keyed = nodes.select("node", F.posexplode("bands").alias("i", "key")).select("node", F.xxhash64("i", "key").alias("group"))
-    shared = materialize(keyed.groupBy("group").agg(F.count("*").alias("_w")).filter("_w > 1").withColumn("parts", F.ceil(F.col("_w") / block).cast("int")), "shared")
     members = materialize(skew_join(keyed, shared, "group", "_w", "inner").select("group", "node", "parts"), "members")
     kind = nodes.schema["node"].dataType.simpleString()
-    return connect(members, sketches, _links_of_groups(most, more, most), kind, most=block)
+    return connect(members, sketches, _links_of_groups(most, more, most), kind, most=block, known=close)
 
 
 def near_classes(docs: DataFrame, *, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -469,7 +481,9 @@ def near_classes(docs: DataFrame, *, shingle: int = NEAR_SHINGLE, similarity: fl
     names = [f.name for f in _NEAR]
     prints = materialize(map_rows(keyed, "text", _NEAR, make).drop("text"), "prints")
     nodes = materialize(prints.groupBy("node").agg(*[F.first(c).alias(c) for c in names], F.min("id").alias("first")), "nodes")
-    likely = materialize(band_links(nodes.select("node", *names[1:]), most_sketch_bits(similarity), block=block), "likely")
+    most = most_sketch_bits(similarity)
+    close = materialize(print_links(nodes, block=block), "close")
+    likely = materialize(band_links(nodes, close, most, block=block), "likely")
     linked = materialize(components(likely), "linked")
     families = linked.select("node", "root").unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
     links = _verified(keyed, nodes, families, shingle, similarity)

@@ -15,6 +15,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fairlead.llm import chat, common, decontaminate, graph, language, line_dedup, mix, quality, queries, simhash, tokens, url_filter, warc
 from fairlead.llm.common import materialize, skew_join
@@ -563,6 +564,55 @@ def test_near_copies_of_any_shape(spark, block):
     assert kept == {i for i in range(len(texts)) if i - 1 not in similar}
 
 
+def near_nodes(spark, texts):
+    """Near prints of texts, materialised, by their place."""
+    prints = simhash.NearPrints(simhash.NEAR_SHINGLE, simhash.band_rows(0.8))
+    return materialize(spark.createDataFrame([(i, *prints(t)) for i, t in enumerate(texts)], T.StructType([T.StructField("node", T.LongType()), *simhash._NEAR])))
+
+
+@pytest.mark.parametrize("block", [4096, 3])
+def test_near_copies_by_pigeonhole(spark, monkeypatch, block):
+    """Near-dedup's first candidates come by the pigeonhole over fingerprints: all pairs within reach and no others. Bands only look at what it leaves apart."""
+    rng = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    texts = []
+    for _ in range(60):
+        base = [rng.choice(vocabulary) for _ in range(200)]
+        other = list(base)
+        other[-1] = "other"
+        texts += [" ".join(base), " ".join(other), " ".join(base[:166])]
+    most = simhash.most_sketch_bits(0.8)
+    nodes = near_nodes(spark, texts)
+    close = materialize(simhash.print_links(nodes, block=block))
+    rows = nodes.orderBy("node").collect()
+    distinct = [sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) for h in ([xxhash.xxh64_intdigest(" ".join(g).encode(), 42) for g in set(zip(*[words(t)[k:] for k in range(5)], strict=False))] for t in texts)]
+    assert [r["fp"] % 2**64 for r in rows] == distinct
+    near = lambda a, b: (distinct[a] ^ distinct[b]).bit_count() <= simhash.TAU
+    want = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if near(a, b):
+                low, high = sorted((want[a], want[b]))
+                want = [low if x == high else x for x in want]
+    roots = {r["node"]: r["root"] for r in graph.components(close).collect()}
+    assert [roots.get(i, i) for i in range(len(texts))] == want
+    assert sum(want[i + 1] == i for i in range(0, len(texts), 3)) > 20 and any(want[i + 2] != i for i in range(0, len(texts), 3))
+    # Bands add links, and none where all is connected.
+    assert {tuple(r) for r in close.collect()} < {tuple(r) for r in simhash.band_links(nodes, close, most, block=block).collect()}
+    whole = materialize(spark.createDataFrame([(0, i) for i in range(1, len(texts))], "u long, v long"))
+    assert simhash.band_links(nodes, whole, most, block=block).count() == whole.count()
+    # Without bands the whole operator still finds what the pigeonhole does.
+    monkeypatch.setattr(simhash, "band_links", lambda nodes, *links, **options: links[0])
+    kept = {r["doc_id"] for r in simhash.near_dedup(docs_of(spark, texts), block=block).collect()}
+    alike = list(range(len(texts)))
+    for i in range(0, len(texts), 3):
+        for a, b in ((i, i + 1), (i, i + 2), (i + 1, i + 2)):
+            if want[a] == want[b] and jaccard(texts[a], texts[b]) >= 0.8:
+                low, high = sorted((alike[a], alike[b]))
+                alike[i : i + 3] = [low if x == high else x for x in alike[i : i + 3]]
+    assert kept == set(alike) and len(kept) < len(texts) - 20
+
+
 def test_bands():
     assert simhash.band_rows(0.8) == 6 and simhash.band_rows(0.5) == 2
     assert all((1 - s ** simhash.band_rows(s)) ** (256 // simhash.band_rows(s)) <= 1e-5 for s in (0.3, 0.5, 0.7, 0.8, 0.9))
